@@ -208,7 +208,12 @@ class Data:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+_RAW_SQL: dict[str, str] = {}
+
+
+def oracle() -> dict[str, str]:
+    """Full SQL text of every query that has a twin."""
+    return {name: expand(sql) for name, sql in _RAW_SQL.items()}
 
 
 def query(name: str, sql: str | None = None):
@@ -219,7 +224,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = lambda spark, sf_dir: fn(Data(spark, sf_dir))
         if sql is not None:
-            ORACLE[name] = expand(sql)
+            _RAW_SQL[name] = sql
         return fn
 
     return register

@@ -8,8 +8,8 @@ from somaloom.operators import pileup as P
 
 def nvnr(d: Data):
     """Full cell x site count grid, from one aggregation of the reads."""
-    keys = ["variant_id", "chrom", "pos", "ref", "alt"]
-    return P.complete_grid(P.allele_counts(d.obs), d.obs, keys, ["nv", "nr"]).select(
+    counts = P.allele_counts(d.obs)
+    return P.complete_grid(counts, d.obs, ["variant_id"], ["nv", "nr"], carry=["chrom", "pos", "ref", "alt"]).select(
         "variant_id", "sample_id", "chrom", "pos", "ref", "alt", "nv", "nr")
 
 

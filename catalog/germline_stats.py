@@ -184,8 +184,8 @@ def genotype_discretize(d):
 
 
 @query("genotype_prob", f"""
-SELECT variant_id, sample_id, CASE WHEN (nv > 0 AND p > 0.01 AND NOT gate) OR (nv >= 3 AND p > 0.001 AND NOT gate) OR (nv = 0 AND p > 0.05)
+SELECT variant_id, sample_id, CASE WHEN (nv > 0 AND p > 0.01 - 1e-12 AND NOT gate) OR (nv >= 3 AND p > 0.001 - 1e-12 AND NOT gate) OR (nv = 0 AND p > 0.05 - 1e-12)
        THEN 0.5::DOUBLE WHEN gate THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS genotype
-FROM (SELECT *, nv >= 2 AND p > 0.05 AND CAST(nv AS DOUBLE) / m > CASE WHEN chrom = 'chrX' THEN 0.7 ELSE 0.2 END AS gate FROM ({_CELL}))""")
+FROM (SELECT *, nv >= 2 AND p > 0.05 - 1e-12 AND CAST(nv AS DOUBLE) / m > CASE WHEN chrom = 'chrX' THEN 0.7 ELSE 0.2 END AS gate FROM ({_CELL}))""")
 def genotype_prob(d):
     return G.genotype_prob(nvnr(d)).select("variant_id", "sample_id", "genotype")

@@ -37,13 +37,19 @@ def distinct_ranks(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFra
 
     Columns: ``by``, ``value``, ``ties``, ``rank_max`` (number of values <= it),
     ``n_total`` and the internal ``_bucket``. NULL values have no rank.
+
+    The NULL tests and the non-null bucket keep the counted table identical in both
+    branches below, so that its shuffle is written once and read twice.
     """
     by = list(by)
+    known = F.lit(True)
+    for c in (value, *by):
+        known = known & F.col(c).isNotNull()
     counts = (
-        df.filter(F.col(value).isNotNull())
+        df.filter(known)
         .groupBy(*by, value)
         .agg(F.count(F.lit(1)).alias("ties"))
-        .withColumn("_bucket", monotone_bucket(F.col(value)))
+        .withColumn("_bucket", F.coalesce(monotone_bucket(F.col(value)), F.lit(0)))
     )
     keys = by or ["_all"]
     if not by:

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
 
 # lgamma(y) ~ (y-1/2)ln y - y + ln(2 pi)/2 + sum_k c_k / y^(2k-1), Stirling's series
 STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188)
@@ -25,21 +25,19 @@ def _correction(y):
     return total / y
 
 
-def log_rising(x: Column, n: Column) -> Column:
-    """``lgamma(x + n) - lgamma(x)`` for integer ``n >= 0`` as one native expression.
+def log_rising(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """``lgamma(x + n) - lgamma(x)`` for integer ``n >= 0``.
 
-    Written as a difference, so that large ``x`` loses no digits: the Stirling
-    main terms combine into ``log1p(n / y)`` and the shift by eight into eight
-    more ``log1p`` terms. ``n = 0`` gives 0 even at ``x = 0``.
+    Written as a difference, so that large ``x`` loses no digits: the Stirling main
+    terms combine into ``log1p(n / y)`` and the shift by eight into eight more
+    ``log1p`` terms. ``n = 0`` gives 0 even at ``x = 0``.
     """
-    y = x + _SHIFT
-    main = (y + n - 0.5) * F.log1p(n / y) + n * F.ln(y) - n
-    shift = F.lit(0.0)
+    safe = np.where(n == 0, 1.0, x)
+    y = safe + _SHIFT
+    total = (y + n - 0.5) * np.log1p(n / y) + n * np.log(y) - n + _correction(y + n) - _correction(y)
     for i in range(_SHIFT):
-        shift = shift + F.log1p(n / (x + i))
-    return F.when(n == 0, F.lit(0.0)).otherwise(
-        main + _correction(y + n) - _correction(y) - shift
-    )
+        total = total - np.log1p(n / (safe + i))
+    return np.where(n == 0, 0.0, total)
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -113,6 +111,19 @@ def rho_grid() -> list[float]:
     return [10 ** (-6 + 0.05 * i) for i in range(120)]
 
 
+@pandas_udf(ArrayType(DoubleType()))
+def betabinom_grid(nv: pd.Series, nr: pd.Series, mu: pd.Series) -> pd.Series:
+    """Beta-binomial log-likelihood of each (nv, nr) at every grid overdispersion.
+
+    Terms that do not depend on the overdispersion are left out.
+    """
+    rho = np.array(rho_grid())
+    s = ((1 - rho) / rho)[None, :]
+    k, n, m = (v.to_numpy(dtype=float)[:, None] for v in (nv, nr, mu))
+    scores = log_rising(m * s, k + 0 * s) + log_rising((1 - m) * s, n - k + 0 * s) - log_rising(s + 0 * n, n + 0 * s)
+    return pd.Series(list(scores))
+
+
 def log10_or_neg_inf(x) -> Column:
     """log10 that keeps ``-Infinity`` for an exact zero."""
     x = F.col(x) if isinstance(x, str) else x

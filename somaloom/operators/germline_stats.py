@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from somaloom.functions.ranks import bh_adjust
-from somaloom.functions.stats import binomial_less_pvalue, log10_or_neg_inf, log_rising, rho_grid
+from somaloom.functions.stats import betabinom_grid, binomial_less_pvalue, log10_or_neg_inf, rho_grid
 from somaloom.functions.variants import on_sex_chromosome
 
 VARIANT = ("variant_id", "chrom", "ref", "alt")
@@ -47,48 +48,44 @@ def germline_pvalues(counts: DataFrame, sex: str = "male") -> DataFrame:
 def betabinom_rho(counts: DataFrame, empty_as_one: bool = False, key: str = "variant_id") -> DataFrame:
     """Maximum-likelihood overdispersion per variant on a fixed grid; the first maximum wins.
 
-    Cells with equal (nv, nr) are counted once and weighted. Each distinct pair is
-    scored on the grid with native expressions and the scores are summed by a partial
-    aggregate, so no variant's cells are gathered. Likelihoods are compared at seven
+    Everything is keyed by the variant, so the table is shuffled once; a variant has one
+    row per cell. Cells with equal (nv, nr) are scored once and weighted, and the scores
+    are summed per grid value by an ordinary aggregate. Likelihoods are compared at seven
     digits: variants without information tie and take the first grid value.
     ``empty_as_one`` counts a cell without reads as one reference read.
     """
     nr = F.greatest("nr", F.lit(1)) if empty_as_one else F.col("nr")
-    pairs = counts.groupBy(key, "nv", nr.alias("nr")).agg(F.count(F.lit(1)).alias("cells"))
-    mean = pairs.groupBy(key).agg(
-        F.try_divide(F.sum(F.col("nv") * F.col("cells")), F.sum(F.col("nr") * F.col("cells"))).alias("mu")
+    per_key = W.partitionBy(key)
+    rows = counts.select(key, "nv", nr.alias("nr")).withColumn(
+        "mu", F.try_divide(F.sum("nv").over(per_key), F.sum("nr").over(per_key))
     )
-    grid = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(r).alias("rho")) for i, r in enumerate(rho_grid())])
-    scored = (
-        pairs.filter("nr > 0").join(mean, key)
-        .select(key, "nv", "nr", "cells", "mu", F.explode(grid).alias("g"))
-        .withColumn("s", (1 - F.col("g.rho")) / F.col("g.rho"))
-    )
-    nv, n = F.col("nv").cast("double"), F.col("nr").cast("double")
-    a, b = F.col("mu") * F.col("s"), (1 - F.col("mu")) * F.col("s")
-    term = log_rising(a, nv) + log_rising(b, n - nv) - log_rising(F.col("s"), n)
-    totals = scored.groupBy(key, "g").agg(F.sum(term * F.col("cells")).alias("ll"))
-    best = totals.groupBy(key).agg(
-        F.min_by("g", F.struct((-F.round("ll", 7)).alias("l"), F.col("g.i").alias("i"))).alias("_g")
-    )
-    return best.select(key, F.col("_g.rho").alias("rho"))
-
+    pairs = rows.filter("nr > 0").groupBy(key, "mu", "nv", "nr").agg(F.count(F.lit(1)).alias("cells"))
+    scored = pairs.select(key, "cells", F.posexplode(betabinom_grid("nv", "nr", "mu")).alias("i", "ll"))
+    totals = scored.groupBy(key, "i").agg(F.sum(F.col("ll") * F.col("cells")).alias("ll"))
+    best = totals.groupBy(key).agg(F.min_by("i", F.struct((-F.round("ll", 7)).alias("l"), F.col("i"))).alias("_i"))
+    return best.select(key, F.get(F.array(*[F.lit(r) for r in rho_grid()]), F.col("_i")).alias("rho"))
 
-def first_pass(counts: DataFrame, min_depth: float = -1, max_depth: float = 9999999, sex: str = "male") -> DataFrame:
-    """Depth, germline p-value and overdispersion of every variant.
 
-    Overdispersion is estimated only for variants seen in several cells that pass depth
-    and whose p-value, adjusted within the chromosome, is below 0.05; NULL otherwise.
-    """
-    counts = raise_depth(counts)
+def variant_totals(counts: DataFrame, min_depth: float, max_depth: float, sex: str) -> DataFrame:
+    """Depth, pooled counts, carriers and germline p-value of every variant in one aggregate."""
     half = F.when(_haploid(sex), 2.0).otherwise(1.0)
-    stats = counts.groupBy(*VARIANT).agg(
+    return counts.groupBy(*VARIANT).agg(
         F.avg("nr").alias("mean_depth"), F.sum("nv").alias("nv_total"), F.sum("nr").alias("nr_total"),
         F.count_if(F.col("nv") > 0).alias("n_carriers"),
     ).withColumns({
         "depth_filter": (F.col("mean_depth") > min_depth / half) & (F.col("mean_depth") < max_depth / half),
         "germline_p": binomial_less_pvalue("nv_total", "nr_total", expected_fraction(sex)),
     })
+
+
+def first_pass(counts: DataFrame, min_depth: float = -1, max_depth: float = 9999999, sex: str = "male") -> DataFrame:
+    """Depth, germline p-value and overdispersion of every variant.
+
+    Overdispersion is estimated only for variants seen in several cells that pass depth
+    and whose p-value, adjusted within the chromosome, is below 0.05; NULL otherwise.
+    """
+    counts = raise_depth(counts)
+    stats = variant_totals(counts, min_depth, max_depth, sex)
     adjusted = bh_adjust(stats, "germline_p", by=["chrom"], out="_chrom_q")
     tested = adjusted.filter((F.col("_chrom_q") < 0.05) & F.col("depth_filter") & (F.col("n_carriers") > 1))
     rho = betabinom_rho(counts.join(tested.select("variant_id"), "variant_id", "left_semi"), empty_as_one=True)
@@ -141,9 +138,7 @@ def second_pass(
     ``second_pass`` is Pass when all filters in use hold. ``min_vaf`` and
     ``min_positive_reads`` switch the two optional filters on.
     """
-    stats = group_depth(counts, min_depth, max_depth, sex).join(
-        germline_pvalues(counts, sex).select("variant_id", "germline_p"), "variant_id"
-    )
+    stats = variant_totals(counts, min_depth, max_depth, sex).drop("nv_total", "nr_total", "n_carriers")
     out = bh_adjust(stats, "germline_p", by=["chrom"], out="germline_q")
     out = out.join(betabinom_rho(counts), "variant_id", "left")
     indel = (F.length("ref") > 1) | (F.length("alt") > 1)
@@ -200,19 +195,22 @@ def genotype_prob(
     """Genotype 1 when read, p-value and VAF gates hold, else 0 or 0.5 ("not sure").
 
     ``min_vaf`` gives the autosomal and the haploid bound. A gate set to None is off.
+    P-values are compared with a tolerance of 1e-12, so a value equal to its cutoff
+    up to rounding counts as above it.
     """
     p = cell_pvalues(counts, sex)
     share = F.col("nv") / F.greatest("nr", F.lit(1))
+    above = lambda cut: F.col("p_value") > cut - 1e-12
     gate = F.lit(True)
     if min_reads is not None:
         gate = gate & (F.col("nv") >= min_reads)
     if min_p is not None:
-        gate = gate & (F.col("p_value") > min_p)
+        gate = gate & above(min_p)
     if min_vaf is not None:
         gate = gate & (share > F.when(_haploid(sex), float(min_vaf[1])).otherwise(float(min_vaf[0])))
     unsure = (
-        ((F.col("nv") > 0) & (F.col("p_value") > 0.01) & ~gate)
-        | ((F.col("nv") >= 3) & (F.col("p_value") > 0.001) & ~gate)
-        | ((F.col("nv") == 0) & (F.col("p_value") > 0.05))
+        ((F.col("nv") > 0) & above(0.01) & ~gate)
+        | ((F.col("nv") >= 3) & above(0.001) & ~gate)
+        | ((F.col("nv") == 0) & above(0.05))
     )
     return p.withColumn("genotype", F.when(unsure, 0.5).when(gate, 1.0).otherwise(0.0))

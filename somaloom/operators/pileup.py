@@ -253,20 +253,22 @@ def sample_array(df: DataFrame, sample: str = "sample_id") -> Column:
 
 def complete_grid(
     present: DataFrame, samples: DataFrame, keys: Sequence[str], values: Sequence[str],
-    fill=0, sample: str = "sample_id",
+    fill=0, sample: str = "sample_id", carry: Sequence[str] = (),
 ) -> DataFrame:
     """Every (key, sample) pair; pairs absent from ``present`` get ``fill``.
 
     The values of a key are packed into one map over samples and unpacked against the
-    sample list, so the dense table is written map-side and is never shuffled.
+    sample list, so the dense table is written map-side, is never shuffled, and comes
+    out partitioned by ``keys``. ``carry`` names columns that depend on the key only.
     """
     packed = present.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(sample), F.struct(*values)))).alias("_cells")
+        *[F.min(c).alias(c) for c in carry],
+        F.map_from_entries(F.collect_list(F.struct(F.col(sample), F.struct(*values)))).alias("_cells"),
     )
     grid = packed.withColumn(sample, F.explode(sample_array(samples, sample)))
     cell = F.try_element_at("_cells", F.col(sample))
     return grid.select(
-        *keys, sample, *[F.coalesce(cell.getField(v), F.lit(fill)).alias(v) for v in values]
+        *keys, *carry, sample, *[F.coalesce(cell.getField(v), F.lit(fill)).alias(v) for v in values]
     )
 
 

@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import duckdb  # noqa: E402
 
 from catalog import load  # noqa: E402
-from catalog.base import ORACLE, QUERIES, TABLES  # noqa: E402
+from catalog.base import QUERIES, TABLES, oracle  # noqa: E402
 from somaloom.session import build_session  # noqa: E402
 
 
@@ -74,6 +74,7 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and "/" in args[0] else "/root/testdata/sf0.01"
     load()
+    ORACLE = oracle()
     names = [n for n in QUERIES if not args or any(n.startswith(a) for a in args)]
     spark = build_session("check", master="local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "12g",
