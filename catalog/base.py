@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from somaloom.session import cut_lineage
+
 TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -207,6 +209,14 @@ class Data:
         return df
 
 
+    def saved(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A stage that several later stages re-read, written once to the checkpoint folder."""
+        key = f"saved:{name}"
+        if key not in self._made:
+            self._made[key] = cut_lineage(build())
+        return self._made[key]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _RAW_SQL: dict[str, str] = {}
 

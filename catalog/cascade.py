@@ -35,16 +35,20 @@ UNION ALL SELECT variant_id, sample_id, nr, nv, vaf, ref, alt, call, 'phylogeny'
 
 
 def verdicts(d: Data):
-    f = filtered(d).filter("alt <> 'REF'")
+    f = d.saved("filtered", lambda: filtered(d)).filter("alt <> 'REF'")
     return f.groupBy("variant_id").agg(F.when(F.bool_or("variant_pass"), "Pass").otherwise("Fail").alias("pileup_verdict"))
 
 
 def second(d: Data):
-    return G.second_pass(nvnr(d), q_cut=-2, rho_snv=0.01, rho_indel=0.05)
+    return d.saved("second", lambda: G.second_pass(saved_nvnr(d), q_cut=-2, rho_snv=0.01, rho_indel=0.05))
+
+
+def saved_nvnr(d: Data):
+    return d.saved("nvnr", lambda: nvnr(d))
 
 
 def staged(d: Data, mandatory=None):
-    return C.vaf_split(nvnr(d), second(d), verdicts(d), mandatory)
+    return C.vaf_split(saved_nvnr(d), second(d), verdicts(d), mandatory)
 
 
 def mandatory_ids(d: Data):
@@ -65,14 +69,14 @@ def evidence_class(d):
 SELECT variant_id, n_carriers FROM (SELECT DISTINCT variant_id, n_carriers FROM {evidence}) JOIN {second} USING (variant_id)
 WHERE n_carriers > 1 AND rho >= 0.2 AND log10(greatest(germline_q, 1e-300)) <= -5""")
 def shared_retained(d):
-    classes = C.with_evidence(nvnr(d)).select("variant_id", "n_carriers", "class").distinct()
+    classes = C.with_evidence(saved_nvnr(d)).select("variant_id", "n_carriers", "class").distinct()
     joined = classes.join(second(d).select("variant_id", "rho", "germline_q"), "variant_id")
     return joined.filter((F.col("class") == "shared") & C.shared_retained(joined)).select("variant_id", "n_carriers")
 
 
 @query("hqstat_set", "SELECT DISTINCT variant_id FROM {cascade} WHERE hqstat")
 def hqstat_set(d):
-    classes = C.with_evidence(nvnr(d)).select("variant_id", "class").distinct()
+    classes = C.with_evidence(saved_nvnr(d)).select("variant_id", "class").distinct()
     joined = classes.join(second(d).select("variant_id", "rho", "germline_q"), "variant_id", "left")
     return C.hqstat(joined).select("variant_id")
 
@@ -157,7 +161,7 @@ VIEWS["membership"] = _MEMBERSHIP
 
 
 def membership(d: Data):
-    return C.scheme_membership(nvnr(d), second(d), verdicts(d))
+    return d.saved("membership", lambda: C.scheme_membership(saved_nvnr(d), second(d), verdicts(d)))
 
 
 @query("scheme_membership", "SELECT * FROM {membership}")

@@ -51,7 +51,7 @@ def gene_tokens(symbol="symbol", gene="gene", consequence="consequence") -> dict
         F.coalesce(F.split(gen, "[,;&]"), F.array().cast("array<string>")),
     )
     tokens = F.array_distinct(
-        F.filter(F.transform(tokens, F.trim), lambda t: ~t.isin("", "-", "."))
+        F.filter(F.transform(tokens, lambda t: F.trim(t)), lambda t: ~t.isin("", "-", "."))
     )
     return {
         "genes": tokens,

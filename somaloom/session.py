@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -27,17 +26,20 @@ def build_session(app_name: str = "somaloom", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+_LOCAL_ROOT: list[str] = []
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for cut-lineage tables.
+    """Shared folder for cut-lineage tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when that is unset (a
-    local test session) a private folder is used.
+    Only when that is unset (a local test session) a private folder is made.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = os.path.join(tempfile.gettempdir(), "somaloom-" + uuid.uuid4().hex)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    if not _LOCAL_ROOT:
+        _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="somaloom-"))
+    return _LOCAL_ROOT[0]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
