@@ -40,7 +40,9 @@ def packed_pileup(d: Data):
     start = "CASE read_id % 4 WHEN 0 THEN '^]' WHEN 1 THEN '^+' WHEN 2 THEN '^^' ELSE '^$' END"
     base = ("CASE WHEN NOT is_alt THEN CASE WHEN strand = 'F' THEN '.' ELSE ',' END "
             "WHEN strand = 'F' THEN substr(alt, 1, 1) ELSE lower(substr(alt, 1, 1)) END")
-    return d.obs.selectExpr(
+    # the given file is one row group; deal its rows out before the per-row text work
+    rows = d.obs.repartition(d.spark.sparkContext.defaultParallelism)
+    return rows.selectExpr(
         "read_id", "sample_id", "chrom", "pos", "ref",
         f"CASE WHEN read_id % 13 = 0 THEN '' ELSE concat({start}, {base}, '$', ',+2ag', '*', '.-1c') END AS read_bases",
         "CASE WHEN read_id % 13 = 0 THEN '' ELSE concat(char(33 + bq), char(34), char(35), char(36)) END AS bq",

@@ -66,14 +66,11 @@ def _tokens(pieces: Column) -> Column:
         digits = F.regexp_extract(piece, "^[+-]([0-9]+)", 1)
         return F.upper(F.substring(piece, F.lit(1), 1 + F.length(digits) + digits.try_cast("int")))
 
-    def bases(piece: Column) -> Column:
-        return F.when(
-            piece.rlike("^[+-][0-9]"), F.substring(piece, F.length(indel(piece)) + 1, F.length(piece))
-        ).otherwise(piece)
-
     def one(piece: Column, i: Column) -> Column:
         follows = F.get(pieces, i + 1)
-        chars = F.filter(F.split(bases(piece), ""), lambda c: c != "")
+        # every piece but the first starts with its indel mark
+        bases = F.when(i == 0, piece).otherwise(F.substring(piece, F.length(indel(piece)) + 1, F.length(piece)))
+        chars = F.filter(F.split(bases, ""), lambda c: c != "")
         last = F.size(chars) - 1
 
         def token(c: Column, j: Column) -> Column:
@@ -82,7 +79,7 @@ def _tokens(pieces: Column) -> Column:
                 F.when(marked, indel(follows)).when(c.isin(".", ","), "REF")
                 .when(c == "*", "DELREFCIGAR").otherwise(F.upper(c))
             )
-            reverse = (c == ",") | (~marked & c.rlike("[a-z]"))
+            reverse = (c == ",") | (~marked & c.between("a", "z"))
             return F.struct(allele.alias("allele"), F.when(reverse, "R").otherwise("F").alias("strand"))
 
         return F.transform(chars, token)

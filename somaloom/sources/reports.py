@@ -28,8 +28,11 @@ def report_fields(text: Column, header: str, preferred: Sequence[str] = ()) -> C
     keys = F.split(F.get(lines, (at - 1).cast("int")), "\t")
     rest = F.when(at > 0, F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines) - at, F.lit(0)).cast("int")))
     if preferred:
-        full = lambda s: F.size(F.split(s, "\t")) == F.size(keys)
-        picks = [F.get(F.filter(rest, lambda s, w=want: full(s) & s.startswith(w + "\t")), F.lit(0)) for want in preferred]
+        def first_of(category: str) -> Column:
+            whole = lambda s: (F.size(F.split(s, "\t")) == F.size(keys)) & s.startswith(category + "\t")
+            return F.get(F.filter(rest, whole), F.lit(0))
+
+        picks = [first_of(c) for c in preferred]
         values = F.split(F.coalesce(*picks), "\t")
     else:
         values = F.split(F.get(rest, F.lit(0)), "\t")
