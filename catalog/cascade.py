@@ -89,12 +89,13 @@ def anchor_call(d):
 
 
 @query("called_and_covered", """
-SELECT DISTINCT variant_id FROM {cascade} WHERE called > 0 AND covered >= 0.7 * cells""")
+SELECT DISTINCT variant_id FROM (SELECT variant_id, called, count(*) FILTER (WHERE nr >= 4) OVER (PARTITION BY variant_id) AS covered, cells FROM {cascade})
+WHERE called > 0 AND covered >= 0.7 * cells""")
 def called_and_covered(d):
     from somaloom.functions.variants import vaf
 
     cells = C.anchor_call(C.with_evidence(nvnr(d)).withColumn("vaf", vaf()))
-    return C.phylogeny_covered(C.called_somewhere(cells)).select("variant_id").distinct()
+    return C.phylogeny_covered(C.called_somewhere(cells), C.CascadePreset(depth=4)).select("variant_id").distinct()
 
 
 @query("append_mandatory", f"""

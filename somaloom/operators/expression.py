@@ -51,9 +51,10 @@ def gene_dispersion(normed: DataFrame, bins: int = 20) -> DataFrame:
     cut = genes.withColumn("_e", ends)
     index = sum(((F.col("mean") > F.col("_e.lo") + (F.col("_e.hi") - F.col("_e.lo")) * i / bins).cast("int") for i in range(1, bins)), F.lit(0))
     cut = cut.withColumn("bin", index).drop("_e")
-    per_bin = cut.groupBy("bin").agg(F.avg("dispersion").alias("_m"), F.stddev("dispersion").alias("_s"))
-    z = F.abs(F.try_divide(F.col("dispersion") - F.col("_m"), F.col("_s")))
-    return cut.join(per_bin, "bin").select("gene", "mean", "dispersion", "bin", z.alias("z"))
+    # one row per gene: a class holds at most the genes of the genome
+    peers = W.partitionBy("bin")
+    z = F.abs(F.try_divide(F.col("dispersion") - F.avg("dispersion").over(peers), F.stddev("dispersion").over(peers)))
+    return cut.select("gene", "mean", "dispersion", "bin", z.alias("z"))
 
 
 def dispersion_topn(normed: DataFrame, n: int = 500, bins: int = 20) -> DataFrame:

@@ -153,8 +153,9 @@ def pileup_metrics(
         F.median("aln_score").alias("median_as"),
         F.avg(F.col("clipped").cast("double")).alias("prop_clipped"),
     )
-    # histogram over read positions: at most read_length rows per (sample, allele, strand)
-    hist = rows.filter("hq").groupBy(*keys, "strand", "bp_start").agg(F.count(F.lit(1)).alias("c"))
+    # histogram over read positions: at most read_length rows per (sample, allele, strand);
+    # dealt by allele once, which serves the window, both aggregates and the join below
+    hist = rows.filter("hq").groupBy(*keys, "strand", "bp_start").agg(F.count(F.lit(1)).alias("c")).repartition(*keys)
     x, c = F.col("bp_start"), F.col("c")
     centre = F.percentile(x, 0.5, c).over(W.partitionBy(*keys, "strand"))
     n, s1, s2 = F.sum(c), F.sum(c * x), F.sum(c * x * x)
