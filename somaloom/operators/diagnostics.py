@@ -27,7 +27,7 @@ def depth_funnel(counts: DataFrame, depths: Sequence[int], min_pct: float = 50)
         F.max("nv").alias("_nv"))
     levels = F.explode(F.array(*[F.lit(d) for d in depths])).alias("min_depth")
     cohort = met.filter("_nv > 0").select(F.explode("_d").alias("min_depth")).groupBy("min_depth").agg(F.count(F.lit(1)).alias("n"))
-    frame = counts.agg(F.count(F.lit(1)).alias("_n")).select(levels)
+    frame = counts.sparkSession.range(1).select(levels)
     cohort = frame.join(cohort, "min_depth", "left").select("min_depth", F.coalesce("n", F.lit(0)).alias("n_variants"))
     cells = counts.filter("nv > 0").join(met.select("variant_id", "_d"), "variant_id").select("sample_id", F.explode("_d").alias("min_depth"))
     found = cells.groupBy("sample_id", "min_depth").agg(F.count(F.lit(1)).alias("n"))

@@ -38,7 +38,7 @@ def alignment_strings(genotypes: DataFrame) -> DataFrame:
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chrom", "mb", "s"))), lambda s: s.getField("s")), "")
     tips = pieces.groupBy("sample_id").agg(whole.alias("sequence"))
     length = genotypes.agg(F.count_distinct("variant_id")).scalar()
-    root = genotypes.agg(F.count(F.lit(1)).alias("_n")).select(
+    root = genotypes.sparkSession.range(1).select(
         F.lit("Ancestral").alias("sample_id"), F.repeat(F.lit("A"), length.cast("int")).alias("sequence"))
     both = root.unionByName(tips)
     # names only: one row per sample
