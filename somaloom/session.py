@@ -32,11 +32,15 @@ _LOCAL_ROOT: list[str] = []
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for cut-lineage tables: the one the cluster names in ``spark.checkpoint.dir``.
 
-    Only when that is unset (a local test session) a private folder is made.
+    Only a session whose tasks all run in this machine's one process (``local[...]``, as in tests)
+    may leave it unset; it then gets a private folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not _LOCAL_ROOT:
         _LOCAL_ROOT.append(tempfile.mkdtemp(prefix="somaloom-"))
     return _LOCAL_ROOT[0]
