@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from somaloom.session import checkpoint_root, cut_lineage
 
-__all__ = ["checkpoint_root", "cut_lineage", "fresh_folder", "open_store", "pick", "slices", "table"]
+__all__ = ["checkpoint_root", "cut_lineage", "fresh_folder", "open_store", "pick", "slices", "table", "unused"]
 
 SLICE_BYTES = 2 << 20
 
@@ -26,6 +26,14 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in columns.items()])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def fresh_folder(spark: SparkSession, kind: str) -> str:
     """A path of its own in the shared folder."""
     return f"{checkpoint_root(spark)}/{kind}-{uuid.uuid4().hex}"

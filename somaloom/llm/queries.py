@@ -6,6 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .lempel_ziv import fingerprint_pairs
+from .near_dedup import near_duplicates
 from .tokens import token_output
 from .warc import warc_round_trip
 
@@ -17,11 +19,19 @@ def op2_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"), TOKENIZER, END_ID)
 
 
+def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_pairs(table(spark, sf_dir, "documents"))
+
+
 def op10_warc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_frames, op10_warc_splits)}
+QUERIES = {f.__name__: f for f in (op2_token_frames, op4_prob_minhash, op9_lempel_ziv, op10_warc_splits)}
 
 OP10_SQL = """
 WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS hex, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
