@@ -27,26 +27,30 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, fresh_folder, open_store, pick, slices
+from .words import NON_SPACE, split
 
 INDEX_MAGIC, TABLE_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 SHARD_BYTES = 64 << 20
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 3 << 18
 
-_SPACES = str.maketrans("\t\n\r", "   ")
-_TAIL = ".,!$%&*#|;:?"
+_LETTERS = np.array([97 <= b <= 122 for b in range(256)])
+_MARKS = np.array([chr(b) in ".,!$%&*#;:?" for b in range(256)])  # neither white space nor part of a contraction or special token
 
 
 class WordEncoder:
     """Encode texts with a tokenizer that drops white space, one distinct word at a time.
 
-    Such a tokenizer treats the runs between ASCII spaces alone, so ids of a text are those of its
-    runs in order. Runs are remembered; words of letters only are encoded many at a time.
+    Such a tokenizer treats the runs between white space alone, and never joins an ASCII letter to one
+    of the marks of ``_MARKS``, so ids of a text are those of its parts in order. Parts are known by
+    hash and remembered in one pool of ids; parts of letters only are encoded many at a time. The
+    pool starts anew when it holds ``CACHED_WORDS`` parts, so its size is bounded.
     """
 
     def __init__(self, path: str):
@@ -57,41 +61,61 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
-        self.ids: dict[str, tuple[int, ...]] = {"": ()}
+        self._forget()
 
-    def _learn(self, words: set[str]) -> None:
-        """Add ids of new lower-case runs."""
+    def _forget(self) -> None:
+        self.place: dict[int, int] = {}
+        self.pool = np.zeros(1 << 16, np.int32)
+        self.starts = np.zeros(1 << 16, np.int64)  # part k has the ids starts[k] .. starts[k + 1]
+
+    def _encode(self, words: list[str]) -> list[tuple[int, ...]]:
+        known: dict[str, tuple[int, ...]] = {}
         plain = [w for w in words if w.isalpha()]
         for at in range(0, len(plain), 1000):
             some = plain[at : at + 1000]
             found = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
-            cuts = np.flatnonzero(self.ends[found]) + 1
-            if len(cuts) == len(some):
+            cuts = (np.flatnonzero(self.ends[found]) + 1).tolist()
+            if len(cuts) == len(some):  # else some letter's lower case is more than a letter
                 flat = found.tolist()
-                for word, start, end in zip(some, [0, *cuts[:-1].tolist()], cuts.tolist()):
-                    self.ids[word] = tuple(flat[start:end])
-            else:  # a letter whose lower case is more than letters
-                for word in some:
-                    self.ids[word] = tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        for word in words:
-            if word not in self.ids:
-                self.ids[word] = tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
-
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        if len(self.ids) > CACHED_WORDS:
-            self.ids = {"": ()}
-        runs = [text.translate(_SPACES).split(" ") for text in texts]
-        new = set(itertools.chain.from_iterable(runs)).difference(self.ids)
-        parts = {}
-        for run in new:
-            word = run.lower() if run.isascii() else run
-            stem = word.rstrip(_TAIL)
-            parts[run] = (stem, word[len(stem) :]) if stem != word and stem.isalpha() else (word,)
-        self._learn({p for ps in parts.values() for p in ps}.difference(self.ids))
-        for run, ps in parts.items():
-            self.ids[run] = tuple(itertools.chain.from_iterable(self.ids[p] for p in ps))
-        get = self.ids.__getitem__
-        return [list(itertools.chain.from_iterable(map(get, run))) for run in runs]
+                known.update(zip(some, map(tuple, (flat[a:b] for a, b in zip([0, *cuts], cuts)))))
+        return [known[w] if w in known else tuple(self.tokenizer.encode(w, add_special_tokens=False).ids) for w in words]
+
+    def _learn(self, hashes: list[int], words: list[str]) -> None:
+        ids, first = self._encode(words), len(self.place)
+        used = int(self.starts[first])
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32)
+        self.place.update(zip(hashes, range(first, first + len(words))))
+        self.pool = _room(self.pool, used + len(flat))
+        self.pool[used : used + len(flat)] = flat
+        self.starts = _room(self.starts, first + len(words) + 1)
+        self.starts[first + 1 : first + len(words) + 1] = used + np.cumsum([len(i) for i in ids])
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and where each text's begin (one more than there are texts)."""
+        if len(self.place) > CACHED_WORDS:
+            self._forget()
+        parts = split(texts, NON_SPACE, apart=(_LETTERS, _MARKS))
+        codes, hashes = pd.factorize(parts.hashes)
+        known = np.fromiter(map(self.place.get, hashes.tolist(), itertools.repeat(-1)), np.int64, len(hashes))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            where = np.empty(len(hashes), np.int64)
+            where[codes[::-1]] = np.arange(len(codes))[::-1]
+            raw = parts.data.tobytes()
+            first = len(self.place)
+            self._learn(hashes[new].tolist(), [raw[a:b].decode() for a, b in zip(parts.starts[where[new]].tolist(), parts.ends[where[new]].tolist())])
+            known[new] = np.arange(first, first + len(new))
+        found = known[codes]
+        begins = self.starts[found]
+        sizes = self.starts[found + 1] - begins
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.pool[np.repeat(begins - ends[:-1], sizes) + np.arange(ends[-1])]
+        return ids, ends[parts.firsts]
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    """``array``, grown so that it holds ``size`` values."""
+    return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -177,10 +201,13 @@ MANIFEST = "shard long, path string, width int, n_docs long, n_tokens long"
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, order: list[str] | None = None, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode ``docs`` (doc_id, text and the ``order`` columns), write shards in ``order``; return the manifest.
 
+    The order columns should be short: Spark samples them to cut the ranges.
+
     The manifest (shard, path, width, n_docs, n_tokens) ascends with ``shard`` as the documents do.
     """
     spark = docs.sparkSession
-    order = order or ["doc_id", "text"]
+    if order is None:
+        order, docs = ["doc_id", "tie"], docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
     folder = fresh_folder(spark, "tokens")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ordered = docs.repartitionByRange(int(max(1, total // (shard_bytes // 4) + 1)), *order).sortWithinPartitions(*order).select("doc_id", "text")
@@ -189,10 +216,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, order: list[str]
         encode, task, shard, made = encoder(tokenizer), TaskContext.get().partitionId(), None, []
         width = 2 if max(len(encode.ends) - 1, end_id, encode.tokenizer.get_vocab_size() - 1) < 1 << 16 else 4
         for batch in slices(batches, "text"):
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1).to_pylist())):
+            flat, cuts = encode(batch.column(1))
+            for doc_id, start, end in zip(batch.column(0).to_pylist(), cuts[:-1].tolist(), cuts[1:].tolist()):
                 if shard is None:
                     shard = ShardWriter(f"{folder}/shard-{task:06d}-{len(made):04d}-{uuid.uuid4().hex}.ids.zst", width)
-                shard.add(doc_id, np.array([*ids, end_id], np.int64))
+                shard.add(doc_id, np.append(flat[start:end], end_id))
                 if shard.size >= shard_bytes:
                     made.append(shard.close() | {"shard": task * 1_000_000 + len(made)})
                     shard = None

@@ -104,13 +104,19 @@ def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def split(column: pa.Array, kind: np.ndarray = ALNUM, hashed: bool = True) -> Words:
-    """The words of every text of an Arrow string array without nulls."""
+def split(column: pa.Array, kind: np.ndarray = ALNUM, hashed: bool = True, apart: tuple[np.ndarray, np.ndarray] | None = None) -> Words:
+    """The words of every text of an Arrow string array without nulls.
+
+    ``apart`` names two classes of bytes between which a word is cut too.
+    """
     raw, offsets = raw_bytes(column)
     data = LOWER[raw]
     inside = kind[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
+    if apart is not None and len(data) > 1:
+        one, other = apart[0][data], apart[1][data]
+        edge[1:-1] |= (one[1:] & other[:-1]) | (one[:-1] & other[1:])
     opens, closes = inside.copy(), inside.copy()
     opens[1:] &= ~inside[:-1] | edge[1:-1]
     closes[:-1] &= ~inside[1:] | edge[1:-1]
