@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import decontamination
 from .lempel_ziv import fingerprint_pairs
+from .licenses import license_rows
 from .near_dedup import near_duplicates
+from .paragraphs import repeated_paragraphs
 from .tokens import token_output
 from .warc import warc_round_trip
 
@@ -15,6 +18,10 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 
 
+def op1_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_rows(table(spark, sf_dir, "documents"))
+
+
 def op2_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"), TOKENIZER, END_ID)
 
@@ -23,6 +30,14 @@ def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+def op8_bm25_wand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_pairs(table(spark, sf_dir, "documents"))
 
@@ -31,7 +46,7 @@ def op10_warc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_frames, op4_prob_minhash, op9_lempel_ziv, op10_warc_splits)}
+QUERIES = {f.__name__: f for f in (op1_license_rules, op2_token_frames, op4_prob_minhash, op7_paragraph_bands, op8_bm25_wand, op9_lempel_ziv, op10_warc_splits)}
 
 OP10_SQL = """
 WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS hex, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
