@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontaminate import decontamination
+from .interpolation import score_documents
 from .lempel_ziv import fingerprint_pairs
 from .licenses import license_rows
 from .near_dedup import near_duplicates
@@ -30,6 +31,10 @@ def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_paragraph_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_paragraphs(table(spark, sf_dir, "documents"))
 
@@ -46,7 +51,7 @@ def op10_warc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_rules, op2_token_frames, op4_prob_minhash, op7_paragraph_bands, op8_bm25_wand, op9_lempel_ziv, op10_warc_splits)}
+QUERIES = {f.__name__: f for f in (op1_license_rules, op2_token_frames, op4_prob_minhash, op6_deleted_interpolation, op7_paragraph_bands, op8_bm25_wand, op9_lempel_ziv, op10_warc_splits)}
 
 OP10_SQL = """
 WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS hex, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
