@@ -12,6 +12,7 @@ from .lempel_ziv import fingerprint_pairs
 from .licenses import license_rows
 from .near_dedup import near_duplicates
 from .paragraphs import repeated_paragraphs
+from .quality import classify
 from .tokens import token_output
 from .warc import warc_round_trip
 
@@ -27,6 +28,10 @@ def op2_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"), TOKENIZER, END_ID)
 
 
+def op3_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -51,7 +56,7 @@ def op10_warc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_rules, op2_token_frames, op4_prob_minhash, op6_deleted_interpolation, op7_paragraph_bands, op8_bm25_wand, op9_lempel_ziv, op10_warc_splits)}
+QUERIES = {f.__name__: f for f in (op1_license_rules, op2_token_frames, op3_co_training, op4_prob_minhash, op6_deleted_interpolation, op7_paragraph_bands, op8_bm25_wand, op9_lempel_ziv, op10_warc_splits)}
 
 OP10_SQL = """
 WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS hex, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
