@@ -10,6 +10,7 @@ from .decontaminate import decontamination
 from .interpolation import score_documents
 from .lempel_ziv import fingerprint_pairs
 from .licenses import license_rows
+from .mixing import mix_sources
 from .near_dedup import near_duplicates
 from .paragraphs import repeated_paragraphs
 from .quality import classify
@@ -36,6 +37,10 @@ def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents")).drop("tie")
+
+
 def op6_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
@@ -56,7 +61,7 @@ def op10_warc_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_rules, op2_token_frames, op3_co_training, op4_prob_minhash, op6_deleted_interpolation, op7_paragraph_bands, op8_bm25_wand, op9_lempel_ziv, op10_warc_splits)}
+QUERIES = {f.__name__: f for f in (op1_license_rules, op2_token_frames, op3_co_training, op4_prob_minhash, op5_pfair_mix, op6_deleted_interpolation, op7_paragraph_bands, op8_bm25_wand, op9_lempel_ziv, op10_warc_splits)}
 
 OP10_SQL = """
 WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS hex, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes FROM pages),
