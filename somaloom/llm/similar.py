@@ -4,13 +4,14 @@ An item is a distinct text or paragraph: a 64-bit ``key``, the number ``n`` of i
 and a list of band hashes. Two items are linked when the Jaccard index of their shingle sets reaches
 the threshold. The search never writes all pairs of a bucket:
 
-1. in each bucket every item is compared with one other, first the smallest key, then a random one,
-   and components are formed from what holds;
-2. only items whose buckets still hold several components go on to an exact prefix join: two sets of
-   that likeness share one of their rarest shingles, so frequent passages bring no pairs;
-   pairs inside one component are passed over.
-
-Comparisons of one hot item are dealt to groups of bounded size. Links, labels and shingles stay in
+1. in each bucket every item is compared with its smallest key, and components are formed from what holds;
+2. items whose buckets still hold several components go on, but only those of which so many shingles
+   stand in other such items that a link is possible: texts that merely share a passage drop out here;
+3. those left form families by common buckets. A family is dealt into blocks of bounded size; a task
+   compares two blocks at once and gives out links only. Items of the family's largest component are not
+   compared with one another.
+
+Comparisons of one hot item are dealt to groups of bounded size too. Links, labels and shingles stay in
 Spark; each step is a table in the shared folder.
 """
 
@@ -29,6 +30,8 @@ from .words import _PLACE, mix
 THRESHOLD = 0.8
 ROWS, BANDS = 4, 20  # a pair of likeness 0.8 is missed with probability (1 - 0.8**4)**20 = 3e-5
 SALT_ITEMS = 256
+BLOCK_ITEMS = 256
+COLUMNS = 1 << 14  # shingles compared at a time
 
 
 def band_hashes(signatures: np.ndarray, rows: int = ROWS) -> np.ndarray:
@@ -93,14 +96,8 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return rows.withColumn("label", F.col("key"))
-    return rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-
-
 def _alike_size(threshold: float, a: str = "n", b: str = "m"):
-    return (F.least(a, b) >= F.greatest(a, b) * threshold - 1e-9)
+    return F.least(a, b) >= F.greatest(a, b) * threshold - 1e-9
 
 
 def link_items(items: DataFrame, sets_of, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame] | None:
@@ -109,53 +106,95 @@ def link_items(items: DataFrame, sets_of, threshold: float = THRESHOLD) -> tuple
     ``sets_of(keys)`` gives (key, shingles) for a table of keys: sorted 64-bit hashes as bytes.
     """
     spread = items.select("key", "n", F.explode("bands").alias("bucket"))
-    crowds = spread.groupBy("bucket").agg(F.count("*").alias("c"), F.min("key").alias("first")).filter("c > 1").select("bucket", "first")
-    crowded = cut_lineage(spread.join(crowds, "bucket").select("bucket", "key", "n", "first"))
+    crowds = (spread.groupBy("bucket").agg(F.count("*").alias("c"), F.min(F.struct("key", "n")).alias("first")).filter("c > 1")
+              .select("bucket", F.col("first.key").alias("first"), F.col("first.n").alias("m")))
+    crowded = cut_lineage(spread.join(crowds, "bucket").select("bucket", "key", "n", "first", "m"))
     if crowded.isEmpty():
         return None
     sets = cut_lineage(sets_of(crowded.select("key").distinct()))
-    tried = links = labels = None
-    for turn in range(3):
-        rows = _labelled(crowded, labels)
-        if turn < 2:
-            pick = F.min_by(F.struct("key", "n", "label"), F.col("key") if turn == 0 else F.xxhash64("key", F.lit(turn)))
-            centres = rows.groupBy("bucket").agg(pick.alias("c")).select("bucket", F.col("c.key").alias("a"), F.col("c.n").alias("m"), F.col("c.label").alias("other"))
-            pairs = rows.join(centres, "bucket").filter(F.col("label") != F.col("other")).filter(_alike_size(threshold))
-            pairs = pairs.select("a", F.col("key").alias("b")).distinct()
-        else:
-            pairs = _prefix_pairs(rows, sets, threshold)
-        if tried is not None:
-            both = tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-            pairs = pairs.join(both, ["a", "b"], "left_anti")
-        pairs = cut_lineage(pairs)
-        if not pairs.isEmpty():
-            found = cut_lineage(_verify(_salts(pairs), sets, threshold))
-            tried = pairs if tried is None else tried.union(pairs)
-            if not found.isEmpty():
-                links = found if links is None else links.union(found)
-                labels = components(links)
-    return None if links is None else (links, labels)
-
-
-def _prefix_pairs(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of different labels, of items in mixed buckets, that share one of their rarest shingles."""
+    pairs = crowded.filter("key <> first").filter(_alike_size(threshold)).select(F.col("first").alias("a"), F.col("key").alias("b")).distinct()
+    links = cut_lineage(_verify(_salts(cut_lineage(pairs)), sets, threshold))
+    labels = None if links.isEmpty() else components(links)
+    rest = _rest(crowded, labels, sets, threshold)
+    if rest is not None:
+        links = links.unionByName(rest)
+        labels = components(links)
+    return None if labels is None else (links, labels)
+
+
+def _rest(crowded: DataFrame, labels: DataFrame | None, sets: DataFrame, threshold: float) -> DataFrame | None:
+    """Links between different labels inside mixed buckets; None without any."""
+    rows = crowded.select("bucket", "key", "n")
+    rows = rows.withColumn("label", F.col("key")) if labels is None else rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
     mixed = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-    open_items = rows.join(mixed, "bucket", "left_semi").select("key", "n", "label").distinct()
+    rows = cut_lineage(rows.join(mixed, "bucket", "left_semi"))
+    able = _able(rows.select("key", "n").distinct(), sets, threshold)
+    rows = cut_lineage(rows.join(able, "key", "left_semi"))
+    if rows.isEmpty():
+        return None
+    tops = rows.groupBy("bucket").agg(F.min("key").alias("first"))
+    edges = rows.join(tops, "bucket").filter("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct()
+    families = components(edges).select("key", F.col("label").alias("family"))
+    members = cut_lineage(rows.select("key", "label").distinct().join(families, "key"))
+    sizes = members.groupBy("family", "label").agg(F.count("*").alias("c")).groupBy("family").agg(
+        F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("c")).filter("c > top.c")
+    sizes = sizes.select("family", F.col("top.label").alias("main"), F.expr(f"cast((top.c - 1) div {BLOCK_ITEMS} + 1 as int)").alias("mains"),
+                         F.expr(f"cast((c - top.c - 1) div {BLOCK_ITEMS} + 1 as int)").alias("others"))
+    # items of a family's largest label meet all blocks of the others; these meet each other too
+    block = F.when(F.col("label") == F.col("main"), F.pmod(F.xxhash64("key"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("key"), F.col("others")))
+    placed = members.join(sizes, "family").withColumn("block", block.cast("int")).withColumn("is_main", F.col("label") == F.col("main"))
+    across = placed.select("family", "key", "label", "is_main", "block", F.explode(F.when(F.col("is_main"), F.sequence(F.lit(0), F.col("others") - 1)).otherwise(
+        F.sequence(F.lit(0), F.col("mains") - 1))).alias("other"))
+    across = across.select("family", "key", "label", F.when(F.col("is_main"), F.col("block")).otherwise(-1 - F.col("block")).alias("side"),
+                           F.when(F.col("is_main"), F.col("block")).otherwise(F.col("other")).alias("left"),
+                           F.when(F.col("is_main"), -1 - F.col("other")).otherwise(-1 - F.col("block")).alias("right"))
+    inner = placed.filter("NOT is_main").select("family", "key", "label", "block", F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("other"))
+    inner = inner.select("family", "key", "label", (-1 - F.col("block")).alias("side"), (-1 - F.least("block", "other")).alias("left"), (-1 - F.greatest("block", "other")).alias("right"))
+    dealt = across.unionByName(inner).join(sets, "key")
+    found = cut_lineage(dealt.groupBy("family", "left", "right").applyInArrow(_block_links(threshold), "a long, b long, similarity double"))
+    return None if found.isEmpty() else found
+
+
+def _able(items: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Keys of the items (key, n) of which enough shingles stand in another of the items for any link."""
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                values = np.frombuffer(row["shingles"], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), row["key"])), pa.array(values)], names=["key", "shingle"])
-
-    flat = cut_lineage(open_items.select("key").join(sets, "key").mapInArrow(unpack, "key long, shingle long"))
-    shared = flat.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1")
-    # shingles of one item alone stand first in every order: only their number counts
-    ranked = (flat.join(shared, "shingle").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("held"))
-              .join(open_items, "key"))
-    reach = F.expr(f"cast(n - ceil({threshold} * n - 1e-9) + 1 - (n - size(held)) as int)")
-    prefix = ranked.withColumn("reach", reach).filter("reach > 0").select(
-        "key", "n", "label", F.explode(F.expr("transform(slice(held, 1, reach), x -> x.shingle)")).alias("shingle"))
-    left = prefix.select(F.col("key").alias("a"), F.col("n").alias("m"), F.col("label").alias("other"), "shingle")
-    return (left.join(prefix, "shingle").filter((F.col("a") < F.col("key")) & (F.col("label") != F.col("other"))).filter(_alike_size(threshold))
-            .select("a", F.col("key").alias("b")).distinct())
+            for key, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                values = np.frombuffer(blob, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), key)), pa.array(values)], names=["key", "shingle"])
+
+    flat = items.select("key").join(sets, "key").select("key", "shingles").mapInArrow(unpack, "key long, shingle long")
+    lone = (flat.groupBy("shingle").agg(F.count("*").alias("c"), F.min("key").alias("key")).filter("c = 1")
+            .groupBy("key").agg(F.count("*").alias("lone")))
+    return items.join(lone, "key", "left").filter(F.col("n") - F.coalesce("lone", F.lit(0)) >= F.col("n") * threshold - 1e-9).select("key")
+
+
+def _block_links(threshold: float):
+    """Compare two blocks of a family (or one with itself) all at once; only links leave the task."""
+
+    def run(group: pa.Table) -> pa.Table:
+        left, right = group.column("left")[0].as_py(), group.column("right")[0].as_py()
+        keys, labels, sides = (group.column(c).to_numpy() for c in ("key", "label", "side"))
+        sets = [np.frombuffer(b, np.uint64) for b in group.column("shingles").to_pylist()]
+        sizes = np.array([len(x) for x in sets], np.float64)
+        owner = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
+        _, token, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = df[token] > 1
+        _, token = np.unique(token[shared], return_inverse=True)
+        owner = owner[shared]
+        common = np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        for start in range(0, int(token[-1]) + 1 if len(token) else 0, COLUMNS):
+            a, b = np.searchsorted(token, [start, start + COLUMNS])
+            held = np.zeros((len(sets), COLUMNS), np.float32)
+            held[owner[a:b], token[a:b] - start] = 1
+            common += held @ held.T
+        similarity = common / np.maximum(sizes[:, None] + sizes[None, :] - common, 1)
+        good = (similarity >= threshold - 1e-9) & (labels[:, None] != labels[None, :])
+        good &= np.triu(np.ones_like(good), 1) if left == right else (sides[:, None] == left) & (sides[None, :] == right)
+        i, j = np.nonzero(good)
+        return pa.table({"a": pa.array(keys[i], pa.int64()), "b": pa.array(keys[j], pa.int64()), "similarity": pa.array(similarity[i, j].astype(np.float64))})
+
+    return run
