@@ -66,6 +66,16 @@ def population_filter_existing(d):
     return A.population_filter(rows, use_existing=True, af=None).select("variant_id", "csq_no", "filter_status", "filter_reason")
 
 
+@query("population_filter_af", """
+SELECT variant_id, csq_no, CASE WHEN coalesce(greatest(a, b) <= 0.01, TRUE) AND coalesce(max_af <= 0.01, TRUE) THEN 'PASS' ELSE 'REMOVED' END AS filter_status
+FROM (SELECT *, CAST(csq_no % 17 AS DOUBLE) / 1000 AS a, CASE WHEN csq_no % 4 <> 0 THEN CAST(csq_no % 23 AS DOUBLE) / 1000 END AS b FROM {annotation})""")
+def population_filter_af(d):
+    """Frequencies with one or two values; the larger counts."""
+    a, b = "CAST(csq_no % 17 AS DOUBLE) / 1000", "CAST(csq_no % 23 AS DOUBLE) / 1000"
+    rows = d.annotation.withColumn("af", F.expr(f"CASE WHEN csq_no % 4 <> 0 THEN concat({a}, '&', {b}) ELSE CAST({a} AS STRING) END"))
+    return A.population_filter(rows).select("variant_id", "csq_no", "filter_status")
+
+
 @query("clin_verdict", "SELECT variant_id, csq_no, verdict FROM {verdict_rows}")
 def clin_verdict(d):
     return d.annotation.select("variant_id", "csq_no", A.clin_verdict().alias("verdict"))

@@ -206,18 +206,28 @@ def report_head(d):
     return S.head(S.order_by_total(d.activity, "signature", "activity"), 5)
 
 
-@query("cap_per_group")
+def _drawn(key: str, seed: int) -> str:
+    return f"CAST('0x' || substr(md5(CAST({key} AS STRING) || ':{seed}'), 1, 8) AS BIGINT)"
+
+
+@query("cap_per_group", f"""
+SELECT chrom, variant_id, sample_id FROM {{calls}}
+QUALIFY row_number() OVER (PARTITION BY chrom ORDER BY {_drawn("(variant_id || '|' || sample_id)", 0)}, variant_id || '|' || sample_id) <= 50""")
 def cap_per_group(d):
     rows = d.calls.withColumn("row_id", F.concat_ws("|", "variant_id", "sample_id"))
     return S.cap_per_group(rows, "chrom", 50, "row_id").select("chrom", "variant_id", "sample_id")
 
 
-@query("subsample_to_target")
+@query("subsample_to_target", f"""
+WITH t AS (SELECT sample_id, count(*) AS total_reads FROM {{obs}} GROUP BY 1)
+SELECT o.sample_id, t.total_reads, count(*) FILTER (WHERE t.total_reads <= 1000 OR {_drawn("o.read_id", 0)} < 1000.0 / t.total_reads * 4294967296) AS final_reads,
+       t.total_reads > 1000 AS subsampled
+FROM {{obs}} o JOIN t ON t.sample_id = o.sample_id GROUP BY ALL""")
 def subsample_to_target(d):
     return S.subsample_to_target(d.obs, 1000)[1]
 
 
-@query("hash_sample")
+@query("hash_sample", f"SELECT read_id, sample_id, variant_id FROM {{obs}} WHERE {_drawn('read_id', 7)} < 0.25 * 4294967296")
 def hash_sample(d):
     return S.hash_sample(d.obs, 0.25, "read_id", seed=7).select("read_id", "sample_id", "variant_id")
 

@@ -74,6 +74,16 @@ def mark_duplicates(d):
     return C.mark_duplicates(d.obs.select("read_id", "sample_id", "chrom", "pos", "strand", "bq"), quality="bq")
 
 
+@query("mark_duplicates_unmapped", """
+SELECT read_id, chrom, pos, bq, chrom IS NOT NULL AND rk > 1 AS is_duplicate FROM (
+  SELECT *, rank() OVER (PARTITION BY sample_id, chrom, pos, strand ORDER BY bq DESC, read_id) AS rk FROM (
+    SELECT read_id, sample_id, CASE WHEN mq < 25 THEN NULL ELSE chrom END AS chrom, pos, strand, bq FROM {obs}))""")
+def mark_duplicates_unmapped(d):
+    """Reads without a place are kept and are no duplicates."""
+    rows = d.obs.selectExpr("read_id", "sample_id", "CASE WHEN mq < 25 THEN NULL ELSE chrom END AS chrom", "pos", "strand", "bq")
+    return C.mark_duplicates(rows, quality="bq").select("read_id", "chrom", "pos", "bq", "is_duplicate")
+
+
 @query("quality_yield", """
 SELECT sample_id, count(*) AS total_bases, round(avg(CASE WHEN bq >= 20 THEN 1.0 ELSE 0 END), 6) AS q20_rate, round(avg(CASE WHEN bq >= 30 THEN 1.0 ELSE 0 END), 6) AS q30_rate FROM {obs} GROUP BY 1""")
 def quality_yield(d):

@@ -134,6 +134,17 @@ def signature_refit(d):
     return rounded(S.signature_refit(act(d).select("sample_id", F.col("signature").alias("feature"), F.col("activity").alias("n")), catalog), "activity", "cosine")
 
 
+@query("signature_refit_disjoint", """
+WITH w AS (SELECT signature AS feature, CASE WHEN signature < 'SBS3' THEN 'low' ELSE 'high' END AS signature, CAST(length(signature) AS DOUBLE) AS weight FROM (SELECT DISTINCT signature FROM {act}))
+SELECT s.sample_id, w.signature, round(sum(coalesce(a.activity, 0) * w.weight) / sum(w.weight * w.weight), 6) AS activity
+FROM (SELECT DISTINCT sample_id FROM {act}) s CROSS JOIN w LEFT JOIN {act} a ON a.sample_id = s.sample_id AND a.signature = w.feature GROUP BY 1, 2""")
+def signature_refit_disjoint(d):
+    """Signatures that share no class: each activity is the least-squares one by itself."""
+    counts = act(d).select("sample_id", F.col("signature").alias("feature"), F.col("activity").alias("n"))
+    catalog = counts.select("feature").distinct().select("feature", F.when(F.col("feature") < "SBS3", "low").otherwise("high").alias("signature"), F.length("feature").cast("double").alias("weight"))
+    return rounded(S.signature_refit(counts, catalog, max_loss=-1.0).select("sample_id", "signature", "activity"), "activity")
+
+
 @query("gene_matrix", "SELECT gene, " + ", ".join(f"CAST(coalesce(sum(n) FILTER (WHERE sample_id = 'cell_{i:02d}'), 0) AS BIGINT) AS cell_{i:02d}" for i in range(24)) + " FROM {expression} GROUP BY 1")
 def gene_matrix(d):
     return E.gene_matrix(d.expression, [f"cell_{i:02d}" for i in range(24)])

@@ -130,11 +130,10 @@ SELECT sample_id AS biosample, chrom AS chr, bin_start AS start, bin_start + 100
 SELECT g.chrom, g.bin_start, s.sample_id, coalesce(b.raw_count, 0) AS raw_count FROM (SELECT DISTINCT chrom, bin_start FROM {bins}) g CROSS JOIN (SELECT DISTINCT sample_id FROM {bins}) s
 LEFT JOIN {bins} b ON b.chrom = g.chrom AND b.bin_start = g.bin_start AND b.sample_id = s.sample_id)""")
 def bins_long(d):
-    names = [f"cell_{i:02d}" for i in range(24)]
+    names = [r["sample_id"] for r in d.bins.select("sample_id").distinct().sort("sample_id").collect()]  # they name the columns
     wide = d.bins.groupBy(F.col("chrom").alias("chr"), F.col("bin_start").alias("start"), (F.col("bin_start") + 1000000).alias("end")).pivot("sample_id", names).agg(F.first("raw_count")).na.fill(0)
     seg = wide.select("chr", "start", "end", *[(F.col(n) % 5).alias(f"{n}_sorted") for n in names])
-    long = K.bins_long(seg, wide, dataset_id="run1", bin_size=1000000)
-    return long.join(K.bins_mismatch(long), ["biosample", "chr", "start", "end"], "left_anti")
+    return K.checked_bins(K.bins_long(seg, wide, dataset_id="run1", bin_size=1000000))
 
 
 @query("manifest", """

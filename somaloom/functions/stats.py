@@ -14,6 +14,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 # lgamma(y) ~ (y-1/2)ln y - y + ln(2 pi)/2 + sum_k c_k / y^(2k-1), Stirling's series
 STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188)
 _SHIFT = 8
+LARGE = 1e7  # counts on both sides from which the normal expansion is the more exact one
 
 
 def _correction(y):
@@ -57,7 +58,7 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
     out = d.copy()
     live = np.ones(x.shape, dtype=bool)
-    for m in range(1, 20000):
+    for m in range(1, 10 * int(math.sqrt(max(1.0, float((a + b).max())))) + 1000):
         m2 = 2 * m
         for num in (
             m * (b - m) * x / ((a + m2 - 1) * (a + m2)),
@@ -71,8 +72,27 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
             out = np.where(live, out * step, out)
         live &= np.abs(step - 1.0) > 1e-15
         if not live.any():
-            break
-    return out
+            return out
+    raise ArithmeticError("incomplete beta fraction did not converge")
+
+
+def _beta_large(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Incomplete beta function for large ``a + b``: normal tail plus its first correction (error of order 1 / (a + b))."""
+    total = a + b
+    mode = a / total
+    gap = (x - mode) / mode
+    other = (mode - x) / (1 - mode)
+    # mode ln(mode / x) + (1 - mode) ln((1 - mode) / (1 - x)), without loss of digits near the mode
+    half = -mode * np.log1p(gap) - (1 - mode) * np.log1p(other)
+    spread = np.sqrt(mode * (1 - mode))
+    near = np.abs(x - mode) < 1e-4 * np.minimum(mode, 1 - mode)
+    z = (x - mode) / spread
+    skew = (1 - 2 * mode) / spread
+    eta = np.where(near, z - skew * z * z / 3, np.sign(x - mode) * np.sqrt(2 * np.maximum(half, 0)))
+    safe = np.where(near, 1.0, eta)
+    first = np.where(near, -skew / 3, 1 / safe - spread / np.where(near, 1.0, x - mode))
+    tail = 0.5 * np.array([math.erfc(v) for v in -eta * np.sqrt(total / 2)])
+    return tail + first * np.exp(-total * eta * eta / 2) / np.sqrt(2 * math.pi * total)
 
 
 def binomial_cdf(k: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -83,12 +103,24 @@ def binomial_cdf(k: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
     if not inner.any():
         return out
     a, b, x = (n - k)[inner], (k + 1)[inner], (1.0 - p)[inner]
+    out[inner] = _incomplete_beta(a, b, x)
+    return out
+
+
+def _incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Regularised incomplete beta function."""
+    large = np.minimum(a, b) > LARGE
+    if large.any():
+        out = np.empty(a.shape)
+        out[large] = np.clip(_beta_large(a[large], b[large], x[large]), 0.0, 1.0)
+        if not large.all():
+            out[~large] = _incomplete_beta(a[~large], b[~large], x[~large])
+        return out
     log_front = _lgamma(a + b) - _lgamma(a) - _lgamma(b) + a * np.log(x) + b * np.log1p(-x)
     direct = x < (a + 1.0) / (a + b + 2.0)
     aa, bb, xx = np.where(direct, a, b), np.where(direct, b, a), np.where(direct, x, 1.0 - x)
     part = np.exp(log_front) * _beta_fraction(aa, bb, xx) / aa
-    out[inner] = np.clip(np.where(direct, part, 1.0 - part), 0.0, 1.0)
-    return out
+    return np.clip(np.where(direct, part, 1.0 - part), 0.0, 1.0)
 
 
 @pandas_udf(DoubleType())

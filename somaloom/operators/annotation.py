@@ -70,10 +70,12 @@ def population_filter(
 ) -> DataFrame:
     """Add ``filter_status`` (PASS / REMOVED) and ``filter_reason``.
 
-    A frequency passes when missing or at most ``max_af``. With ``use_existing`` a
+    A frequency passes when missing or at most ``max_af``; of several (``0.5&0.01``) the largest
+    counts. With ``use_existing`` a
     record known only under ``rs`` numbers is removed too.
     """
-    below = lambda c: F.coalesce(F.col(c).try_cast("double") <= max_af, F.lit(True))
+    largest = lambda c: F.array_max(F.transform(F.split(F.col(c).cast("string"), "[&,]"), lambda v: v.try_cast("double")))
+    below = lambda c: F.coalesce(largest(c) <= max_af, F.lit(True))
     keep_af = below(top_af) if af is None else below(af) & below(top_af)
     ids = F.split(F.translate(_missing_to_null(existing), "&", ","), ",")
     keep_ev = F.lit(True)

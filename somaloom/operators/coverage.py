@@ -24,12 +24,16 @@ def mark_duplicates(reads: DataFrame, keys: Sequence[str] = ("sample_id", "chrom
 
     The best read is found by an aggregate, which combines map-side, and joined back;
     a group holding very many copies is split by the adaptive skew join, not sorted in one task.
+    A read with a NULL key (unmapped) is no copy of another.
     """
     keys = list(keys)
-    best = reads.groupBy(*keys).agg(F.min(F.struct((-F.col(quality)).alias("q"), F.col(read_id).alias("r"))).alias("_best"))
-    flagged = reads.join(best, keys)
+    whole = reads.dropna(subset=keys)
+    best = whole.groupBy(*keys).agg(F.min(F.struct((-F.col(quality)).alias("q"), F.col(read_id).alias("r"))).alias("_best"))
+    flagged = whole.join(best, keys)
     kept = (F.col(read_id) == F.col("_best.r")) & (-F.col(quality) == F.col("_best.q"))
-    return flagged.withColumn("is_duplicate", ~kept).drop("_best")
+    flagged = flagged.withColumn("is_duplicate", ~kept).drop("_best")
+    unkeyed = reads.filter(" OR ".join(f"`{k}` IS NULL" for k in keys)).withColumn("is_duplicate", F.lit(False))
+    return flagged.unionByName(unkeyed.select(*flagged.columns))
 
 
 def quality_yield(reads: DataFrame, by: str = "sample_id", bq: str = "bq") -> DataFrame:

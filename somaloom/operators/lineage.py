@@ -40,10 +40,10 @@ def alignment_strings(genotypes: DataFrame) -> DataFrame:
     length = genotypes.agg(F.count_distinct("variant_id")).scalar()
     root = genotypes.sparkSession.range(1).select(
         F.lit("Ancestral").alias("sample_id"), F.repeat(F.lit("A"), length.cast("int")).alias("sequence"))
-    both = root.unionByName(tips)
-    # names only: one row per sample
-    number = F.row_number().over(W.orderBy(F.col("sample_id") != "Ancestral", "sample_id"))
-    return both.withColumn("short_name", F.concat(F.lit("SC"), number.cast("string")))
+    # numbers are given to the names alone: one short row per sample
+    number = F.row_number().over(W.orderBy("sample_id")) + 1
+    names = genotypes.select("sample_id").distinct().withColumn("short_name", F.concat(F.lit("SC"), number.cast("string")))
+    return root.withColumn("short_name", F.lit("SC1")).unionByName(tips.join(names, "sample_id"))
 
 
 def place_variants(counts: DataFrame, edge_tips: DataFrame, err: float = 0.01, carried: float = 0.5) -> DataFrame:

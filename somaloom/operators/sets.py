@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from somaloom.functions.variants import gt_flags
 
 # one million steps of the hash-sampling scale
-SAMPLE_SCALE = 1_000_000
+SAMPLE_SCALE = 1 << 32
+
+
+def drawn(key, seed: int):
+    """A number below 2**32 drawn by the key and seed: the first half of a digest's hexadecimal digits, as any engine can compute it."""
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
 def distinct_ids(df: DataFrame, *keys: str) -> DataFrame:
@@ -100,7 +106,7 @@ def cap_per_group(df: DataFrame, key: str, n: int, row_id: str, seed: int = 0, s
     The rows with the smallest hash are kept. A group of any size is first cut to
     ``n`` rows inside each of ``salts`` sub-groups, so no task sorts a whole group.
     """
-    order = F.xxhash64(F.col(row_id), F.lit(seed))
+    order = drawn(row_id, seed)
     salted = df.withColumn("_h", order).withColumn("_salt", F.pmod(F.xxhash64("_h", F.lit("salt")), F.lit(salts)))
     first = W.partitionBy(key, "_salt").orderBy("_h", row_id)
     second = W.partitionBy(key).orderBy("_h", row_id)
@@ -114,8 +120,7 @@ def cap_per_group(df: DataFrame, key: str, n: int, row_id: str, seed: int = 0, s
 def hash_sample(df: DataFrame, proportion, key: str, seed: int = 0) -> DataFrame:
     """Deterministic sample: rows sharing ``key`` (mates of a pair) stay or go together."""
     share = F.lit(float(proportion)) if isinstance(proportion, (int, float)) else proportion
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(SAMPLE_SCALE))
-    return df.filter((share >= 1) | (draw < share * SAMPLE_SCALE))
+    return df.filter((share >= 1) | (drawn(key, seed) < share * SAMPLE_SCALE))
 
 
 def subsample_to_target(

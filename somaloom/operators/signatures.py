@@ -169,11 +169,11 @@ def _nnls(a: np.ndarray, y: np.ndarray) -> np.ndarray:
     n = a.shape[1]
     x, passive = np.zeros(n), np.zeros(n, dtype=bool)
     gram, target = a.T @ a, a.T @ y
-    for _ in range(10 * n + 10):
+    for _ in range(100 * n + 100):
         slope = np.where(passive, -np.inf, target - gram @ x)
         best = int(np.argmax(slope))
         if slope[best] <= 1e-10 * max(1.0, np.abs(target).max()):
-            break
+            return x
         passive[best] = True
         while True:
             on = np.flatnonzero(passive)
@@ -189,7 +189,7 @@ def _nnls(a: np.ndarray, y: np.ndarray) -> np.ndarray:
             x[~passive] = 0.0
             if not passive.any():
                 break
-    return x
+    raise ArithmeticError("non-negative least squares did not converge")
 
 
 def _cosine(a: np.ndarray, b: np.ndarray) -> float:

@@ -27,8 +27,8 @@ def enforce_schema(df: DataFrame, strings: Sequence[str] = (), doubles: Sequence
 
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = PARTITION_KEYS, mode: str = "append") -> None:
-    """Hive-style Parquet. Rows are dealt by the keys with a salt, so a large sample is several files written by several tasks."""
-    dealt = df.repartition(*keys, F.pmod(F.xxhash64(*[c for c in df.columns if c not in keys][:3] or list(keys)), F.lit(8)))
+    """Hive-style Parquet. Rows are dealt by the keys; the adaptive rebalance splits a large key over as many tasks as its size asks for."""
+    dealt = df.hint("rebalance", *keys)
     dealt.write.mode(mode).partitionBy(*keys).parquet(path)
 
 
@@ -47,6 +47,13 @@ def bins_mismatch(long: DataFrame) -> DataFrame:
     return long.filter("ploidy IS NULL OR raw_count IS NULL").select("biosample", "chr", "start", "end")
 
 
+def checked_bins(long: DataFrame) -> DataFrame:
+    """The same rows; a bin found in only one of the two inputs ends the run."""
+    both = F.col("ploidy").isNotNull() & F.col("raw_count").isNotNull()
+    where = F.concat_ws(" ", F.lit("bin in one input only:"), "biosample", "chr", "start", "end")
+    return long.withColumn("raw_count", F.when(both, F.col("raw_count")).otherwise(F.raise_error(where).cast("bigint")))
+
+
 def status_csv(df: DataFrame) -> DataFrame:
     """Status list of a run."""
     return df.select(F.col("biosample").alias("biosampleName"), "qc_status", "pipeline", "pipeline_version")

@@ -17,12 +17,12 @@ def parse_vcf(lines: DataFrame, file: str = "file", line: str = "value") -> Data
     the one header line of each file, joined on the file name.
     """
     parts = F.split(line, "\t")
-    names = lines.filter(F.col(line).startswith("#CHROM")).select(file, F.slice(parts, 10, 1_000_000).alias("_names"))
+    names = lines.filter(F.col(line).startswith("#CHROM")).select(file, F.slice(parts, F.lit(10), F.size(parts) - 9).alias("_names"))
     body = lines.filter(~F.col(line).startswith("#") & (F.col(line) != "")).select(file, parts.alias("_p"))
     field = lambda i: F.get("_p", F.lit(i))
     rows = body.join(names, file).select(
         file, *[field(i).alias(n) for i, n in enumerate(FIXED)], field(7).alias("_info"), F.split(field(8), ":").alias("_keys"),
-        F.slice("_p", 10, 1_000_000).alias("_values"), "_names",
+        F.slice("_p", F.lit(10), F.greatest(F.size("_p") - 9, F.lit(0))).alias("_values"), "_names",
     ).withColumn("pos", F.col("pos").try_cast("bigint"))
     per_sample = rows.select(file, *FIXED, "_info", "_keys", F.explode(F.arrays_zip("_names", "_values")).alias("_z"))
     values = F.split(F.col("_z._values"), ":")
