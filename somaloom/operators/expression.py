@@ -12,19 +12,19 @@ from pyspark.sql import functions as F
 HOUSEKEEPING = ("GAPDH", "ACTB", "RPL36", "HINT1", "TBP", "PPIA", "B2M", "HPRT1", "UBC", "RPL13A", "PGK1", "EIF3K", "RPLP0", "GUSB", "CLTC", "HMBS")
 
 
-def gene_matrix(counts: DataFrame, samples: Sequence[str]) -> DataFrame:
-    """Genes x samples with 0 fill."""
-    return counts.groupBy("gene").pivot("sample_id", list(samples)).agg(F.sum("n")).na.fill(0)
+def gene_matrix(counts: DataFrame, samples: Sequence[str], keys: Sequence[str] = ("gene",)) -> DataFrame:
+    """Genes x samples with 0 fill. ``keys`` name a gene; with an id among them, ids that share a symbol stay apart."""
+    return counts.groupBy(*keys).pivot("sample_id", list(samples)).agg(F.sum("n")).na.fill(0)
 
 
-def housekeeping_cv(counts: DataFrame, genes: Sequence[str] = HOUSEKEEPING) -> DataFrame:
-    """sd / mean over all samples (absent counts are 0) of the housekeeping genes."""
+def housekeeping_cv(counts: DataFrame, genes: Sequence[str] = HOUSEKEEPING, keys: Sequence[str] = ("gene",)) -> DataFrame:
+    """sd / mean over all samples (absent counts are 0) of the housekeeping genes, picked by symbol (``gene``)."""
     n = counts.agg(F.count_distinct("sample_id")).scalar()
-    sums = counts.filter(F.col("gene").isin(*genes)).groupBy("gene").agg(
+    sums = counts.filter(F.col("gene").isin(*genes)).groupBy(*keys).agg(
         F.sum("n").cast("double").alias("s1"), F.sum(F.col("n") * F.col("n")).cast("double").alias("s2")).withColumn("k", n)
     mean = F.col("s1") / F.col("k")
     sd = F.sqrt(F.try_divide(F.col("s2") - F.col("s1") * mean, F.col("k") - 1))
-    return sums.select("gene", F.try_divide(sd, mean).alias("cv"))
+    return sums.select(*keys, F.try_divide(sd, mean).alias("cv"))
 
 
 def log_normalize(counts: DataFrame, min_genes: int = 1000, min_cells: int = 1, scale: float = 10000) -> DataFrame:

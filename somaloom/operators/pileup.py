@@ -255,19 +255,23 @@ def complete_grid(
 ) -> DataFrame:
     """Every (key, sample) pair; pairs absent from ``present`` get ``fill``.
 
-    The values of a key are packed into one map over samples and unpacked against the
-    sample list, so the dense table is written map-side, is never shuffled, and comes
-    out partitioned by ``keys``. ``carry`` names columns that depend on the key only.
+    The values of a key are packed into one list of samples, the missing samples are added to it
+    and the list is unpacked, so the dense table is written map-side, is never shuffled, and comes
+    out partitioned by ``keys``; the work is in proportion to the samples. ``carry`` names columns
+    that depend on the key only.
     """
     packed = present.groupBy(*keys).agg(
         *[F.min(c).alias(c) for c in carry],
-        F.map_from_entries(F.collect_list(F.struct(F.col(sample), F.struct(*values)))).alias("_cells"),
-    )
-    grid = packed.withColumn(sample, F.explode(sample_array(samples, sample)))
-    cell = F.try_element_at("_cells", F.col(sample))
-    return grid.select(
-        *keys, *carry, sample, *[F.coalesce(cell.getField(v), F.lit(fill)).alias(v) for v in values]
+        F.collect_list(F.struct(F.col(sample), *values)).alias("_cells"),
+    ).withColumn("_all", sample_array(samples, sample))
+    kind = packed.schema["_cells"].dataType.elementType
+    bare = F.transform(
+        F.array_except("_all", F.col("_cells").getField(sample)),
+        lambda s: F.struct(s.alias(sample), *[F.lit(fill).cast(kind[v].dataType).alias(v) for v in values]),
     )
+    grid = packed.withColumn("_cell", F.explode(F.concat("_cells", bare)))
+    cell = lambda v: F.col("_cell").getField(v)
+    return grid.select(*keys, *carry, cell(sample).alias(sample), *[F.coalesce(cell(v), F.lit(fill)).alias(v) for v in values])
 
 
 def locus_depth(nv_ids: DataFrame, depth: DataFrame, nr: str = "nr") -> DataFrame:
@@ -283,7 +287,7 @@ def nv_nr_long(metrics: DataFrame, variants: DataFrame | None = None) -> DataFra
     that sample; 0 where there is none. ``variants`` (ids) restricts the alternates.
 
     Two maps over samples - support per variant, depth per locus - are joined on the
-    locus, and the grid is unpacked after the join.
+    locus, merged, and the grid is unpacked after the join.
     """
     alts = metrics.filter(F.col("alt") != "REF")
     if variants is not None:
@@ -295,11 +299,15 @@ def nv_nr_long(metrics: DataFrame, variants: DataFrame | None = None) -> DataFra
         metrics.groupBy("chrom", "pos", "sample_id").agg(F.max("depth_hq").alias("d"))
         .groupBy("chrom", "pos").agg(F.map_from_entries(F.collect_list(F.struct("sample_id", "d"))).alias("_nr"))
     )
-    joined = support.join(depth, ["chrom", "pos"]).withColumn("sample_id", F.explode(sample_array(metrics)))
-    return joined.select(
-        "variant_id", "sample_id", "chrom", "pos", "ref", "alt",
-        F.coalesce(F.try_element_at("_nv", F.col("sample_id")), F.lit(0)).alias("nv"),
-        F.coalesce(F.try_element_at("_nr", F.col("sample_id")), F.lit(0)).alias("nr"),
+    both = F.map_zip_with("_nv", "_nr", lambda s, nv, nr: F.struct(F.coalesce(nv, F.lit(0)).alias("nv"), F.coalesce(nr, F.lit(0)).alias("nr")))
+    joined = support.join(depth, ["chrom", "pos"]).withColumn("_both", both).withColumn("_all", sample_array(metrics))
+    kind = joined.schema["_both"].dataType.valueType
+    none = F.struct(*[F.lit(0).cast(kind[v].dataType).alias(v) for v in ("nv", "nr")])
+    bare = F.transform(F.array_except("_all", F.map_keys("_both")), lambda s: F.struct(s.alias("key"), none.alias("value")))
+    grid = joined.withColumn("_cell", F.explode(F.concat(F.map_entries("_both"), bare)))
+    return grid.select(
+        "variant_id", F.col("_cell.key").alias("sample_id"), "chrom", "pos", "ref", "alt",
+        F.col("_cell.value.nv").alias("nv"), F.col("_cell.value.nr").alias("nr"),
     )
 
 
