@@ -22,15 +22,20 @@ def somatic_filter(
     bp_start, aln_score, clipped``); ``calls``: one row per variant and cell with ``gt, filter,
     ad_alt, dp``; ``annotated``: annotation records; ``bulk`` / ``mandatory``: variant ids.
 
-    Cheap call filters come before the pileup. Three stages that later stages re-read are
-    written to the checkpoint folder; everything else is one plan per output.
+    The strongest record of a variant passes the population filter (``af`` too where the records have
+    it). The first statistical pass runs on the calls' own depths; only its survivors and the
+    priority variants reach the pileup, so observations elsewhere are dropped before any of them
+    is counted. Three stages that later stages re-read are written to the checkpoint folder;
+    everything else is one plan per output.
     """
     ml = germline.ml_verdict_counts(calls.withColumn("mlv", caller_verdict()), min_pass_cells)
     kept = ml.filter("verdict = 'keep'").select("variant_id")
-    population = annotation.population_filter(joins.keep_chosen(annotated, kept), max_af, af=None)
+    records = joins.keep_chosen(annotated, kept)
+    tie = "csq_raw" if "csq_raw" in records.columns else "consequence"
+    strongest = annotation.best_annotation(records, tie=tie)
+    population = annotation.population_filter(strongest, max_af, af="af" if "af" in records.columns else None)
     labelled = population.withColumn("verdict", annotation.clin_verdict())
-    per_variant = population.groupBy("variant_id").agg(
-        F.min("filter_status").alias("filter_status"), F.min("filter_reason").alias("filter_reason"))
+    per_variant = population.select("variant_id", "filter_status", "filter_reason")
     passing = per_variant.filter("filter_status = 'PASS'").select("variant_id")
     priority = annotation.priority_variants(labelled, passing).select("variant_id", "impact", "verdict").dropDuplicates(["variant_id"])
     if mandatory is not None:
@@ -38,11 +43,16 @@ def somatic_filter(
     bulk_status = joins.bulk_filter(passing, bulk, priority)
     chosen = bulk_status.filter("bulk_status <> 'Fail'").select("variant_id")
 
-    metrics = pileup.pileup_metrics(obs)
+    called = joins.keep_chosen(calls, chosen).select("variant_id", "sample_id", "chrom", "pos", "ref", "alt", F.col("ad_alt").alias("nv"), F.col("dp").alias("nr"))
+    depths = pileup.complete_grid(called, calls, ["variant_id", "chrom", "pos", "ref", "alt"], ["nv", "nr"])
+    first = germline_stats.first_pass_verdict(germline_stats.first_pass(depths, sex=sex))
+    survivors, first = joins.rescue_union(first, first.filter("stat_pass"), priority)
+    first, survivors = cut_lineage(first), cut_lineage(joins.keep_chosen(chosen, survivors))
+
+    loci = joins.keep_chosen(calls, survivors).select("chrom", "pos").distinct()
+    metrics = pileup.pileup_metrics(obs.join(loci, ["chrom", "pos"], "left_semi"))
     flagged = cut_lineage(pileup.variant_pass(pileup.artifact_filters(metrics, cutoffs, disable_bppos=preset == "wes")))
-    counts = cut_lineage(pileup.nv_nr_long(flagged, chosen))
-    first = germline_stats.first_pass_verdict(germline_stats.first_pass(counts, sex=sex))
-    _, first = joins.rescue_union(first, first.filter("stat_pass"), priority)
+    counts = cut_lineage(pileup.nv_nr_long(flagged, survivors))
     second = cut_lineage(germline_stats.second_pass(counts, sex=sex))
     verdicts = flagged.filter("alt <> 'REF'").groupBy("variant_id").agg(
         F.when(F.bool_or("variant_pass"), "Pass").otherwise("Fail").alias("pileup_verdict"))

@@ -17,6 +17,13 @@ def test_somatic_plan(spark):
     stages = {r.stage: r.n_passing for r in out["funnel"].collect()}
     assert stages["merged"] == 200 and stages["population_filter"] >= stages["bulk_filter"] > 0
     assert stages["split_hqstat"] >= stages["split_qc"] >= stages["split_depth"]
+    # only survivors of the first pass and priority variants are counted again
+    ids = lambda df: {r.variant_id for r in df.select("variant_id").distinct().collect()}
+    passed, priority = ids(out["first_pass"].filter("stat_pass")), ids(out["priority"])
+    chosen = ids(out["bulk_status"].filter("bulk_status <> 'Fail'"))
+    assert ids(out["second_pass"]) <= (passed | priority) & chosen and ids(out["counts"]) <= ids(out["first_pass"])
+    records = d.annotation.groupBy("variant_id").agg(F.min(F.expr("CASE impact WHEN 'HIGH' THEN 0 WHEN 'MODERATE' THEN 1 WHEN 'LOW' THEN 2 ELSE 3 END")).alias("k"))
+    assert out["population"].count() == out["population"].select("variant_id").distinct().count() <= records.count()
     for name in ("master", "annotation_table", "cell_counts", "germline_labels", "ado_intervals"):
         assert out[name].limit(1).count() == 1, name
 
