@@ -21,6 +21,7 @@ shard; other columns are ignored. Texts are never cut: a long one is one frame.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import struct
 import uuid
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, fresh_folder, open_store, pick, slices
-from .words import NON_SPACE, split
+from .words import NON_SPACE, Words, raw_bytes, split
 
 INDEX_MAGIC, TABLE_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 SHARD_BYTES = 64 << 20
@@ -90,11 +91,26 @@ class WordEncoder:
         self.starts = _room(self.starts, first + len(words) + 1)
         self.starts[first + 1 : first + len(words) + 1] = used + np.cumsum([len(i) for i in ids])
 
+    @staticmethod
+    def _cased(texts: pa.Array, parts: Words) -> dict[int, str]:
+        """Parts with the opening of a special token and capitals, which decide whether it is one; they get hashes of their own."""
+        opens = np.flatnonzero((parts.data[:-1] == 60) & (parts.data[1:] == 124))
+        out = {}
+        if len(opens):
+            raw = raw_bytes(texts)[0]
+            for k in np.unique(np.searchsorted(parts.starts, opens, "right") - 1).tolist():
+                own = raw[parts.starts[k] : parts.ends[k]].tobytes()
+                if own != parts.data[parts.starts[k] : parts.ends[k]].tobytes():
+                    out[k] = own.decode()
+                    parts.hashes[k] = int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little")
+        return out
+
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and where each text's begin (one more than there are texts)."""
         if len(self.place) > CACHED_WORDS:
             self._forget()
         parts = split(texts, NON_SPACE, apart=(_LETTERS, _MARKS))
+        cased = self._cased(texts, parts)
         codes, hashes = pd.factorize(parts.hashes)
         known = np.fromiter(map(self.place.get, hashes.tolist(), itertools.repeat(-1)), np.int64, len(hashes))
         new = np.flatnonzero(known < 0)
@@ -103,7 +119,7 @@ class WordEncoder:
             where[codes[::-1]] = np.arange(len(codes))[::-1]
             raw = parts.data.tobytes()
             first = len(self.place)
-            self._learn(hashes[new].tolist(), [raw[a:b].decode() for a, b in zip(parts.starts[where[new]].tolist(), parts.ends[where[new]].tolist())])
+            self._learn(hashes[new].tolist(), [cased.get(k) or raw[parts.starts[k] : parts.ends[k]].decode() for k in where[new].tolist()])
             known[new] = np.arange(first, first + len(new))
         found = known[codes]
         begins = self.starts[found]

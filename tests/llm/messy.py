@@ -10,7 +10,7 @@ def rows() -> list[tuple]:
     base = "the quick brown fox jumps over the lazy dog and runs away from here to there every single day of the year"
     texts = [
         (1, base), (2, base), (2, base), (3, base + " now"), (4, None), (5, ""), (6, "   \n\t "), (7, "one"), (8, "one"), (None, base), (None, None),
-        (9, LONG), (10, LONG + "end"), (11, "Grüße aus Köln — naïve café \U0001f600 é İx don't stop, 12 34 <|endoftext|> ½"), (12, "a\x00b\x1cc d e"), (13, "GNU General\npublic-license; MIT license")]
+        (9, LONG), (10, LONG + "end"), (11, "Grüße aus Köln — naïve café \U0001f600 é İx don't stop, 12 34 <|endoftext|> <|ENDOFTEXT|> a<|EndOfText|>.b <|STARTOFTEXT|><|startoftext|> ½"), (12, "a\x00b\x1cc d e"), (13, "GNU General\npublic-license; MIT license")]
     return [(i, t, None if k % 3 == 0 else "en", None if k % 4 == 0 else f"src{k % 2}", None if k % 5 == 0 else len(t or ""), *["x"] * 12) for k, (i, t) in enumerate(texts)]
 
 
