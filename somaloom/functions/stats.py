@@ -90,7 +90,7 @@ def _beta_large(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
     skew = (1 - 2 * mode) / spread
     eta = np.where(near, z - skew * z * z / 3, np.sign(x - mode) * np.sqrt(2 * np.maximum(half, 0)))
     safe = np.where(near, 1.0, eta)
-    first = np.where(near, -skew / 3, 1 / safe - spread / np.where(near, 1.0, x - mode))
+    first = np.where(near, skew / 3, 1 / safe - spread / np.where(near, 1.0, x - mode))
     tail = 0.5 * np.array([math.erfc(v) for v in -eta * np.sqrt(total / 2)])
     return tail + first * np.exp(-total * eta * eta / 2) / np.sqrt(2 * math.pi * total)
 

@@ -149,3 +149,38 @@ def test_partitioned_write(spark, tmp_path):
     sinks.write_partitioned(df, str(tmp_path / "out"))
     assert sorted(os.listdir(tmp_path / "out" / "workspace=w" / "workflow_id=f"))[:1] == ["biosample=b0"]
     assert spark.read.parquet(str(tmp_path / "out")).count() == 50
+
+
+def test_call_file_keeps_every_sample(spark):
+    from somaloom.sources.vcf import parse_vcf
+
+    names = [f"s{k}" for k in range(40)]
+    lines = ["##x", "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *names]),
+             "\t".join(["chr1", "5", ".", "A", "T", ".", "PASS", "AC=1", "GT:DP", *[f"0/1:{k}" for k in range(40)]]), "chr1\t6\t.\tA\tT\t.\tPASS\tAC=1"]
+    got = parse_vcf(spark.createDataFrame([("f", v) for v in lines], "file string, value string")).filter("pos = 5").collect()
+    assert {(r.sample_id, r.fmt["DP"]) for r in got} == {(f"s{k}", str(k)) for k in range(40)}
+
+
+def test_reads_without_a_place_are_kept(spark):
+    from somaloom.operators import coverage
+
+    reads = spark.createDataFrame([(1, "a", "c", 1, "F", 9), (2, "a", "c", 1, "F", 8), (3, "a", None, None, None, 5), (4, "a", None, None, None, 5)],
+                                  "read_id long, sample_id string, chrom string, pos int, strand string, sum_bq int")
+    assert {(r.read_id, r.is_duplicate) for r in coverage.mark_duplicates(reads).collect()} == {(1, False), (2, True), (3, False), (4, False)}
+
+
+def test_largest_of_several_frequencies_counts(spark):
+    from somaloom.operators import annotation
+
+    rows = spark.createDataFrame([("0.001&0.5", None, None), ("0.001&0.002", "0.003", None), (None, None, None), ("0.001", "0.2,0.001", None)], "af string, max_af string, existing string")
+    assert [r.filter_status for r in annotation.population_filter(rows).collect()] == ["REMOVED", "PASS", "PASS", "REMOVED"]
+
+
+def test_bin_of_one_input_ends_the_run(spark):
+    from somaloom.sources import sinks
+
+    seg = spark.createDataFrame([("c", 1, 2, 2.0)], "chr string, start int, end int, s1 double")
+    raw = spark.createDataFrame([("c", 1, 2, 5), ("c", 3, 4, 6)], "chr string, start int, end int, s1 long")
+    with pytest.raises(Exception, match="bin in one input only"):
+        sinks.checked_bins(sinks.bins_long(seg, raw)).collect()
+    assert sinks.checked_bins(sinks.bins_long(seg, raw.filter("start = 1"))).count() == 1

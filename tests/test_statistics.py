@@ -99,3 +99,24 @@ def test_empty_cells_count_as_one_reference_read_when_asked(spark):
     rows = [("v", "a", 5, 10), ("v", "b", 0, 0), ("v", "c", 4, 9)]
     df = spark.createDataFrame(rows, "variant_id string, sample_id string, nv bigint, nr bigint")
     assert G.betabinom_rho(df, empty_as_one=True).collect()[0].rho == pytest.approx(brute_rho([5, 0, 4], [10, 1, 9]))
+
+
+def test_binomial_tail_at_any_depth():
+    from somaloom.functions import stats
+
+    for n in (1e8, 1e10, 1e12):  # just above one half, by half the chance of the middle value
+        got = stats.binomial_cdf([n / 2], [n], [0.5])[0]
+        assert abs(got - 0.5 - 0.5 / np.sqrt(np.pi * n / 2)) < 1e-11
+    # the expansion and the fraction agree where both hold
+    k = np.array([4.6e5, 5.0e5, 5.004e5, 3.0e5 - 300]) * 10
+    n, p = np.full(4, 1e7), np.array([0.46, 0.5, 0.5, 0.3])
+    near = stats._beta_large(n - k, k + 1, 1 - p)
+    assert np.allclose(near, stats.binomial_cdf(k, n, p), rtol=0, atol=1e-7)
+
+
+def test_fraction_that_does_not_converge_is_an_error(monkeypatch):
+    from somaloom.functions import stats
+
+    monkeypatch.setattr(stats.math, "sqrt", lambda x: -99.0)
+    with pytest.raises(ArithmeticError):
+        stats._beta_fraction(np.array([5e5]), np.array([5e5]), np.array([0.5]))
