@@ -8,7 +8,7 @@ the threshold. The search never writes all pairs of a bucket:
 2. items whose buckets still hold several components go on, but only those of which so many shingles
    stand in other such items that a link is possible: texts that merely share a passage drop out here;
 3. those left form families by common buckets. A family is dealt into blocks of bounded size; a task
-   compares two blocks at once and gives out links only. Items of the family's largest component are not
+   compares two blocks at once and gives out only links that join parts of them. Items of the family's largest component are not
    compared with one another.
 
 Comparisons of one hot item are dealt to groups of bounded size too. Links, labels and shingles stay in
@@ -29,8 +29,8 @@ from .words import _PLACE, mix
 
 THRESHOLD = 0.8
 ROWS, BANDS = 4, 20  # a pair of likeness 0.8 is missed with probability (1 - 0.8**4)**20 = 3e-5
-SALT_ITEMS = 256
-BLOCK_ITEMS = 256
+GROUP_ITEMS = 256
+GROUP_SHINGLES = 1 << 20  # of the items compared in one group, on average
 COLUMNS = 1 << 14  # shingles compared at a time
 
 
@@ -68,11 +68,16 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _salts(pairs: DataFrame) -> DataFrame:
-    """Add the number of groups that the comparisons of each ``a`` are dealt to."""
-    counted = pairs.groupBy("a").agg(F.count("*").alias("c")).select("a", F.expr(f"cast(c div {SALT_ITEMS} + 1 as int)").alias("salts"))
+    """Add the number of groups that the comparisons of each ``a`` are dealt to; ``n`` is the size of ``b``."""
+    counted = pairs.groupBy("a").agg(_groups("*", "n").alias("salts"))
     return pairs.join(counted, "a")
 
 
+def _groups(items: str, shingles: str):
+    """How many groups of bounded items and shingles a set of rows makes; both are aggregated."""
+    return F.greatest(F.count(items) / GROUP_ITEMS, F.sum(shingles) / GROUP_SHINGLES).cast("int") + 1
+
+
 def components(links: DataFrame) -> DataFrame:
     """(key, label): for every key of the links (a, b), the smallest key of its component.
 
@@ -112,7 +117,7 @@ def link_items(items: DataFrame, sets_of, threshold: float = THRESHOLD) -> tuple
     if crowded.isEmpty():
         return None
     sets = cut_lineage(sets_of(crowded.select("key").distinct()))
-    pairs = crowded.filter("key <> first").filter(_alike_size(threshold)).select(F.col("first").alias("a"), F.col("key").alias("b")).distinct()
+    pairs = crowded.filter("key <> first").filter(_alike_size(threshold)).select(F.col("first").alias("a"), F.col("key").alias("b"), "n").distinct()
     links = cut_lineage(_verify(_salts(cut_lineage(pairs)), sets, threshold))
     labels = None if links.isEmpty() else components(links)
     rest = _rest(crowded, labels, sets, threshold)
@@ -135,11 +140,11 @@ def _rest(crowded: DataFrame, labels: DataFrame | None, sets: DataFrame, thresho
     tops = rows.groupBy("bucket").agg(F.min("key").alias("first"))
     edges = rows.join(tops, "bucket").filter("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct()
     families = components(edges).select("key", F.col("label").alias("family"))
-    members = cut_lineage(rows.select("key", "label").distinct().join(families, "key"))
-    sizes = members.groupBy("family", "label").agg(F.count("*").alias("c")).groupBy("family").agg(
-        F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("c")).filter("c > top.c")
-    sizes = sizes.select("family", F.col("top.label").alias("main"), F.expr(f"cast((top.c - 1) div {BLOCK_ITEMS} + 1 as int)").alias("mains"),
-                         F.expr(f"cast((c - top.c - 1) div {BLOCK_ITEMS} + 1 as int)").alias("others"))
+    members = cut_lineage(rows.select("key", "label", "n").distinct().join(families, "key"))
+    sizes = members.groupBy("family", "label").agg(F.count("*").alias("c"), F.sum("n").alias("n")).groupBy("family").agg(
+        F.max(F.struct("c", "label", "n")).alias("top"), F.sum("c").alias("c"), F.sum("n").alias("n")).filter("c > top.c")
+    blocks = lambda c, n: F.expr(f"cast(greatest(({c}) / {GROUP_ITEMS}, ({n}) / {GROUP_SHINGLES}) as int) + 1")
+    sizes = sizes.select("family", F.col("top.label").alias("main"), blocks("top.c", "top.n").alias("mains"), blocks("c - top.c", "n - top.n").alias("others"))
     # items of a family's largest label meet all blocks of the others; these meet each other too
     block = F.when(F.col("label") == F.col("main"), F.pmod(F.xxhash64("key"), F.col("mains"))).otherwise(F.pmod(F.xxhash64("key"), F.col("others")))
     placed = members.join(sizes, "family").withColumn("block", block.cast("int")).withColumn("is_main", F.col("label") == F.col("main"))
@@ -170,8 +175,26 @@ def _able(items: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return items.join(lone, "key", "left").filter(F.col("n") - F.coalesce("lone", F.lit(0)) >= F.col("n") * threshold - 1e-9).select("key")
 
 
+def _forest(i: np.ndarray, j: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of links (i, j), those that join what labels and earlier links do not: one fewer than the parts they join."""
+    part = np.unique(labels, return_inverse=True)[1].tolist()
+    above, kept = list(range(len(part))), []
+
+    def root(x: int) -> int:
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    for k, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
+        a, b = root(part[a]), root(part[b])
+        if a != b:
+            above[max(a, b)] = min(a, b)
+            kept.append(k)
+    return i[kept], j[kept]
+
+
 def _block_links(threshold: float):
-    """Compare two blocks of a family (or one with itself) all at once; only links leave the task."""
+    """Compare two blocks of a family (or one with itself) all at once; only links that join parts leave the task."""
 
     def run(group: pa.Table) -> pa.Table:
         left, right = group.column("left")[0].as_py(), group.column("right")[0].as_py()
@@ -194,7 +217,7 @@ def _block_links(threshold: float):
         similarity = common / np.maximum(sizes[:, None] + sizes[None, :] - common, 1)
         good = (similarity >= threshold - 1e-9) & (labels[:, None] != labels[None, :])
         good &= np.triu(np.ones_like(good), 1) if left == right else (sides[:, None] == left) & (sides[None, :] == right)
-        i, j = np.nonzero(good)
+        i, j = _forest(*np.nonzero(good), labels)
         return pa.table({"a": pa.array(keys[i], pa.int64()), "b": pa.array(keys[j], pa.int64()), "similarity": pa.array(similarity[i, j].astype(np.float64))})
 
     return run
