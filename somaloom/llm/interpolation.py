@@ -35,10 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, pick, slices
-from .words import _PLACE, NON_SPACE, mix, split
+from .words import _PLACE, LOWER, NON_SPACE, mix, raw_bytes, split
 
 ORDER = 2
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 6 << 20
 BUCKET_BYTES = 4 << 20
 CLASSES = 64  # context classes of one order: powers of two of its count
 CELLS = 80  # half octaves of a probability
@@ -94,27 +94,38 @@ class Chunk:
     """Some documents as tokens: numbers of their words among the sorted word hashes."""
 
     doc_ids: list
+    texts: pa.Array
     sizes: np.ndarray  # tokens of each document
     words: np.ndarray  # sorted distinct word hashes
     tokens: np.ndarray
 
     @classmethod
-    def of(cls, batch: pa.RecordBatch) -> Chunk:
-        found = split(batch.column(1), NON_SPACE)
+    def of(cls, doc_ids: list, texts: pa.Array) -> Chunk:
+        found = split(texts, NON_SPACE)
         sizes = found.counts + 1
         hashes = np.full(int(sizes.sum()), END, np.uint64)
         hashes[np.arange(len(found.hashes)) + found.doc] = found.hashes
         words, tokens = np.unique(hashes, return_inverse=True)
-        return cls(batch.column(0).to_pylist(), sizes, words, tokens)
+        return cls(doc_ids, texts, sizes, words, tokens)
 
     def packed(self) -> list[bytes]:
+        """The documents themselves: compressed text is shorter than its token numbers and word hashes."""
+        import zstandard
+
+        raw, offsets = raw_bytes(self.texts)
         ids = np.array([i or 0 for i in self.doc_ids], np.int64).view(np.uint64)
-        return [pack(ids), pack(np.array([i is None for i in self.doc_ids])), pack(self.sizes), pack_sorted(self.words), pack(self.tokens)]
+        text = zstandard.ZstdCompressor(level=3).compress(LOWER[raw].tobytes())
+        return [pack(ids), pack(np.array([i is None for i in self.doc_ids])), pack(np.diff(offsets)), text]
 
     @classmethod
     def unpacked(cls, blobs: list[bytes]) -> Chunk:
-        ids, missing = unpack(blobs[0]).view(np.int64).tolist(), unpack(blobs[1]).tolist()
-        return cls([None if m else i for i, m in zip(ids, missing)], unpack(blobs[2]).astype(np.int64), unpack_sorted(blobs[3]), unpack(blobs[4]).astype(np.int64))
+        import zstandard
+
+        ids, missing, lengths = unpack(blobs[0]).view(np.int64).tolist(), unpack(blobs[1]).tolist(), unpack(blobs[2]).astype(np.int64)
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        data = zstandard.ZstdDecompressor().decompress(blobs[3], max_output_size=max(1, int(offsets[-1])))
+        texts = pa.Array.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+        return cls.of([None if m else i for i, m in zip(ids, missing)], texts)
 
     @property
     def training(self) -> np.ndarray:
@@ -147,7 +158,7 @@ def _chunks(docs: DataFrame, order: int, n_buckets: int, chunk_bytes: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(slices(batches, "text", chunk_bytes)):
-            name, chunk = (task << 32) + number, Chunk.of(batch)
+            name, chunk = (task << 32) + number, Chunk.of(batch.column(0).to_pylist(), batch.column(1))
             training = chunk.training
             rows = [(0, name, [*chunk.packed(), pack(np.array([training.sum(), chunk.sizes[training].sum()]))])]
             for o, (known, _, counts) in enumerate(chunk.grams(order), 1):
