@@ -62,9 +62,9 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.ends[number] = token.endswith("</w>")
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.place: dict[int, int] = {}
         self.pool = np.zeros(1 << 16, np.int32)
         self.starts = np.zeros(1 << 16, np.int64)  # part k has the ids starts[k] .. starts[k + 1]
@@ -108,7 +108,7 @@ class WordEncoder:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and where each text's begin (one more than there are texts)."""
         if len(self.place) > CACHED_WORDS:
-            self._forget()
+            self.forget()
         parts = split(texts, NON_SPACE, apart=(_LETTERS, _MARKS))
         cased = self._cased(texts, parts)
         codes, hashes = pd.factorize(parts.hashes)
@@ -242,6 +242,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, order: list[str]
                     shard = None
         if shard is not None:
             made.append(shard.close() | {"shard": task * 1_000_000 + len(made)})
+        encode.forget()  # the worker process goes on to other tasks
         names = ["shard", "path", "width", "n_docs", "n_tokens"]
         kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array([m[n] for m in made], k) for n, k in zip(names, kinds)], names=names)
