@@ -6,6 +6,12 @@ bands of few registers give high recall, and colliding paragraphs are verified b
 index of whole shingle sets (``similar``). Linked paragraphs form components; the first paragraph of a
 component (by doc_id, then place) stays, the others are marked for removal.
 
+Passages are found wherever line feeds stand, too: a window is any ``min_words`` words in a row of a text,
+and a window that stands earlier in the corpus (by doc_id, then word number) is repeated. Windows are not all
+compared: each holds a run of half its words, the one of least hash, that is chosen alike wherever the same
+window stands, so only windows around runs chosen more than once are looked up, and none is missed. Stretches
+of repeated windows with first copies in one document are one repeated run.
+
 Defined results: a null or empty text has no paragraphs; a null ``doc_id`` comes last and never names a
 component that has another id; rows of one doc_id are one document, so equal paragraphs at one place of
 both are the same first one; an empty table gives no rows; other columns are ignored; lines of any
@@ -18,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, pick, slices
@@ -62,7 +68,7 @@ PARAGRAPHS = "array<struct<place:int,start:long,end:long,key:long,n:int,bands:ar
 
 
 def paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, uid, paragraphs) of (doc_id, text): place is the line's number, start and end code points."""
+    """(doc_id, t, uid, paragraphs) of (doc_id, text): t is the hash of the text, place is the line's number, start and end code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = [("place", pa.int32()), ("start", pa.int64()), ("end", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("bands", pa.list_(pa.int64()))]
@@ -82,9 +88,9 @@ def paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
                 pa.array(np.bincount(of, minlength=len(lines)).astype(np.int32)),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(lines) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))], fields=[pa.field(*f) for f in fields])
             cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cuts), held)], names=["doc_id", "paragraphs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.ListArray.from_arrays(pa.array(cuts), held)], names=["doc_id", "t", "paragraphs"])
 
-    found = docs.mapInArrow(run, f"doc_id long, paragraphs {PARAGRAPHS}")
+    found = _named(docs).mapInArrow(run, f"doc_id long, t long, paragraphs {PARAGRAPHS}")
     return cut_lineage(found.withColumn("uid", F.monotonically_increasing_id()))
 
 
@@ -103,15 +109,122 @@ def paragraph_sets(docs: DataFrame, keys: DataFrame, min_words: int) -> DataFram
     return docs.select("doc_id", "text").mapInArrow(run, "key long, shingles binary").join(keys, "key", "left_semi").dropDuplicates(["key"])
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, t): t is the hash of the text."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("t"))
+
+
+def _slide(values: np.ndarray, size: int, join) -> np.ndarray:
+    """``join`` over every ``size`` values in a row; fewer values give none."""
+    if len(values) < size:
+        return values[:0]
+    width = 1
+    while width < size:
+        step = min(width, size - width)
+        values, width = join(values[:-step], values[step:]), width + step
+    return values
+
+
+def _chain(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix(a * _BASE + b)
+
+
+def windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every ``size`` words in a row: their hash, and whether they stand in one text."""
+    last = max(len(words.doc) - size + 1, 0)
+    return _slide(words.hashes, size, _chain), words.doc[:last] == words.doc[len(words.doc) - last :]
+
+
+def anchors(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash) of the runs of half a window that have the least hash in a window of a text."""
+    run = (size + 1) // 2
+    span = size - run + 1
+    grams = _slide(words.hashes, run, _chain) | np.uint64(1)
+    least = np.where(windows(words, size)[1], _slide(grams, span, np.minimum), np.uint64(0))
+    if not len(least):
+        return np.zeros(0, np.int64), grams[:0]
+    none = np.zeros(span - 1, np.uint64)
+    at = np.flatnonzero(_slide(np.concatenate([none, least, none]), span, np.maximum) == grams)
+    return at, grams[at]
+
+
+def _text_anchors(docs: DataFrame, size: int) -> DataFrame:
+    """(t, first, anchors) of the distinct texts: first is the smallest doc_id, nulls last; copies counts the rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            words = split(batch.column(1))
+            at, hashes = anchors(words, size)
+            cuts = np.searchsorted(words.doc[at], np.arange(batch.num_rows + 1)).astype(np.int32)
+            held = pa.StructArray.from_arrays([pa.array((at - words.firsts[words.doc[at]]).astype(np.int32)), pa.array(hashes.view(np.int64))], names=["place", "anchor"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.ListArray.from_arrays(pa.array(cuts), held)], names=["doc_id", "t", "anchors"])
+
+    found = _named(docs).mapInArrow(run, "doc_id long, t long, anchors array<struct<place:int,anchor:long>>").filter("size(anchors) > 0")
+    return cut_lineage(found.groupBy("t").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("anchors").alias("anchors")))
+
+
+WINDOWS = "array<struct<place:int,start:long,end:long,window:long>>"
+
+
+def _windows_around(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """(t, first, windows) of the texts (t, first, places): the windows that hold an anchor at one of the places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            words = split(batch.column(1))
+            hashes, whole = windows(words, size)
+            listed = batch.column(4)
+            of = np.repeat(np.arange(batch.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
+            at = listed.flatten().to_numpy(zero_copy_only=False) + words.firsts[of]
+            near = np.zeros(len(words.doc) + 1, np.int64)  # windows that start in [at - back, at] hold the anchor
+            back = size - (size + 1) // 2
+            np.add.at(near, np.maximum(at - back, words.firsts[of]), 1)
+            np.add.at(near, at + 1, -1)
+            begin = np.flatnonzero((np.cumsum(near)[: len(whole)] > 0) & whole)
+            points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
+            doc = words.doc[begin]
+            origin = points[words.offsets[:-1]][doc]
+            held = pa.StructArray.from_arrays([
+                pa.array((begin - words.firsts[doc]).astype(np.int32)), pa.array(points[words.starts[begin]] - origin),
+                pa.array(points[words.ends[begin + size - 1]] - origin), pa.array(hashes[begin].view(np.int64))], names=["place", "start", "end", "window"])
+            cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.ListArray.from_arrays(pa.array(cuts), held)], names=["t", "first", "windows"])
+
+    own = _named(docs).alias("d").join(places.alias("p"), (F.col("d.t") == F.col("p.t")) & F.col("d.doc_id").eqNullSafe(F.col("p.first")))
+    return own.select("d.doc_id", "d.text", "d.t", "p.first", "p.places").mapInArrow(run, f"t long, first long, windows {WINDOWS}")
+
+
+def repeated_runs(docs: DataFrame, size: int) -> DataFrame:
+    """(t, own, runs) of (doc_id, text): repeated runs of a text, in the document that holds it first (own) and in its others."""
+    texts = _text_anchors(docs, size)
+    flat = texts.select("t", "first", "copies", F.explode("anchors").alias("a")).select("t", "first", "copies", "a.*")
+    shared = flat.groupBy("anchor").agg(F.sum("copies").alias("c")).filter("c > 1").select("anchor")
+    places = flat.join(shared, "anchor", "left_semi").groupBy("t", "first").agg(F.collect_set("place").alias("places"))
+    near = cut_lineage(_windows_around(docs, places, size))
+    each = near.select("t", "first", F.explode("windows").alias("w")).select("t", "first", "w.*")
+    at = F.struct(F.col("first").isNull().alias("unnamed"), F.col("first").alias("doc_id"), "place")
+    heads = each.groupBy("window").agg(F.min(at).alias("head"), F.count("*").alias("c"))
+    headed = each.join(heads, "window").join(texts.select("t", "copies"), "t").filter("c > 1 OR copies > 1")
+    is_head = F.col("first").eqNullSafe(F.col("head.doc_id")) & (F.col("place") == F.col("head.place"))
+    owns = F.when(is_head, F.array(F.lit(False))).otherwise(F.array(F.lit(True), F.lit(False)))
+    marked = headed.select("t", F.explode(owns).alias("own"), "place", "start", "end", F.col("head.doc_id").alias("first_doc"))
+    stretch = F.col("place") - F.dense_rank().over(Window.partitionBy("t", "own", "first_doc").orderBy("place"))
+    runs = marked.withColumn("stretch", stretch).groupBy("t", "own", "first_doc", "stretch").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    listed = runs.groupBy("t", "own").agg(F.array_sort(F.collect_list(F.struct("start", "end", "first_doc"))).alias("runs"))
+    return listed.join(texts.select("t", "first"), "t")
+
+
 REMOVED = "start long, end long, first_doc long"
 
 
 def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per document of (doc_id, text): doc_id, n_paragraphs, n_repeated, n_removed, removed, repeated_in.
+    """One row per document of (doc_id, text): doc_id, n_paragraphs, n_repeated, n_removed, removed, repeated_in, n_runs, runs.
 
     n_repeated counts paragraphs of which the corpus holds another; removed lists those that are not the
     first: code points start (inclusive) and end, and the document that keeps the first; repeated_in
-    lists the documents whose first paragraph the document's repeated ones belong to.
+    lists the documents whose first paragraph the document's repeated ones belong to. runs lists the
+    repeated runs of at least ``min_words`` equal words, whatever the lines: code points, and the document
+    that holds the first copies of their windows.
     """
     docs = pick(docs, doc_id="long", text="string")
     held = paragraphs(docs, min_words)
@@ -138,7 +251,11 @@ def repeated_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, min_words
         F.count("*").alias("n_repeated"), F.array_sort(F.collect_list(F.when(gone, F.struct("start", "end", "first_doc")))).alias("removed"),
         F.array_sort(F.collect_set("first_doc")).alias("repeated_in"))
     none = F.expr(f"cast(array() as array<struct<{REMOVED.replace(' long', ':long')}>>)")
-    return (held.select("uid", "doc_id", F.size("paragraphs").alias("n")).join(by_doc, "uid", "left")
+    runs = repeated_runs(docs, min_words)
+    by_text = runs.groupBy("t", "first").agg(*[F.first(F.when(c, F.col("runs")), ignorenulls=True).alias(n) for c, n in ((F.col("own"), "own_runs"), (~F.col("own"), "copy_runs"))])
+    runs = F.coalesce(F.when(F.col("doc_id").eqNullSafe(F.col("first")), F.col("own_runs")).otherwise(F.col("copy_runs")), none)
+    return (held.select("uid", "doc_id", "t", F.size("paragraphs").alias("n")).join(by_doc, "uid", "left").join(by_text, "t", "left").withColumn("runs", runs)
             .select("doc_id", F.col("n").cast("long").alias("n_paragraphs"), F.coalesce("n_repeated", F.lit(0)).cast("long").alias("n_repeated"),
                     F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce("removed", none).alias("removed"),
-                    F.coalesce("repeated_in", F.expr("cast(array() as array<long>)")).alias("repeated_in")))
+                    F.coalesce("repeated_in", F.expr("cast(array() as array<long>)")).alias("repeated_in"),
+                    F.size("runs").cast("long").alias("n_runs"), "runs"))

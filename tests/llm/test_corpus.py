@@ -161,6 +161,58 @@ def test_paragraphs_awkward(spark):
     assert paragraphs.repeated_paragraphs(empty(spark)).count() == 0
 
 
+def plain_runs(docs, size):
+    """For each (doc_id, text): spans of the repeated windows of ``size`` words, joined where first copies stand in one document."""
+    order = lambda i: (i is None, i or 0)
+    spans = [[m.span() for m in ALNUM.finditer(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))] for _, t in docs]
+    plain = [plain_words(t) for _, t in docs]
+    heads = {}
+    for (i, _), w in zip(docs, plain):
+        for k in range(len(w) - size + 1):
+            gram = tuple(w[k : k + size])
+            heads[gram] = min(heads.get(gram, (order(i), k)), (order(i), k))
+    out = []
+    for (i, _), w, own in zip(docs, plain, spans):
+        marked = defaultdict(list)
+        for k in range(len(w) - size + 1):
+            top, at = heads[tuple(w[k : k + size])]
+            if (top, at) != (order(i), k):
+                marked[None if top[0] else top[1]].append(k)
+        found = []
+        for first, places in marked.items():
+            for k in places:
+                if k - 1 in places:
+                    found[-1][1] = own[k + size - 1][1]
+                else:
+                    found.append([own[k][0], own[k + size - 1][1], first])
+        out.append((i, sorted(map(tuple, found), key=lambda r: r[:2] + (order(r[2]),))))
+    return out
+
+
+def check_runs(spark, docs, size):
+    got = paragraphs.repeated_paragraphs(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), min_words=size).collect()
+    found = Counter((r.doc_id, tuple(sorted(((x.start, x.end, x.first_doc) for x in r.runs), key=str))) for r in got)
+    want = Counter((i, tuple(sorted(runs, key=str))) for i, runs in plain_runs(docs, size))
+    assert found == want and all(r.n_runs == len(r.runs) for r in got)
+    return {r.doc_id: r for r in got}
+
+
+def test_passages_inside_lines_and_over_line_feeds(spark):
+    draw = random.Random(8)
+    said = [f"s{k}" for k in range(60)]
+    other = lambda n: " ".join(f"o{draw.randrange(10**6)}" for _ in range(n))
+    docs = [(1, f"{other(70)} Über {' '.join(said)} {other(90)}"), (2, f"{other(30)}\n" + "\n".join(" ".join(said[k : k + 6]) for k in range(0, 60, 6)) + f"\n{other(9)}"),
+            (3, " ".join(said[:49]) + other(60)), (4, " ".join(said[:50])), (5, other(200)), (6, "a b c d e " * 40), (7, "\n".join(said[10:] + said[10:])), (None, " ".join(said)), (7, "x " + " ".join(said)), (4, None)]
+    got = check_runs(spark, docs, 50)
+    assert got[2].n_paragraphs == 0 and got[2].runs[0].first_doc == 1 and got[3].n_runs == 0 == got[5].n_runs == got[1].n_runs
+    check_runs(spark, docs, 7)
+
+
+def test_passages_of_the_documents(spark, documents):
+    check_runs(spark, [*documents.items(), (10**6, documents[min(documents)]), (None, documents[max(documents)])], 50)
+    check_runs(spark, [(r[0], r[1][:2000] if r[1] else r[1]) for r in rows()], 10)
+
+
 def test_decontamination_finds_all_verbatim_items(spark, documents):
     items = {r["item_id"]: r["text"] for r in table(spark, SF, "benchmark").collect()}
     got = {r.doc_id: r for r in QUERIES["op8_bm25_wand"](spark, SF).collect()}
