@@ -3,6 +3,7 @@
 import hashlib
 import math
 import os
+import random
 import re
 import sys
 import zlib
@@ -77,6 +78,52 @@ def test_license_rules_are_many_and_their_keywords_gate_them():
     assert licenses.resolve([inner, licenses.Detection("a", "a", 0, 9, 2, 1.0)])[0].rule == "a" and len(licenses.resolve([inner, licenses.Detection("c", "c", 4, 9, 2, 1.0)])) == 2
 
 
+def without_prefilter(text):
+    flat = re.sub(r"[^\S ]", " ", text)
+    return licenses.resolve([licenses.Detection(r.name, r.label, m.start(), m.end(), r.priority, r.score) for r in licenses.rules() for m in r.pattern.finditer(flat)])
+
+
+def some_match(parts, draw, gap):
+    """A text that a parsed pattern matches, gaps as given."""
+    out = []
+    for op, value in parts:
+        name = str(op)
+        if licenses._gap(op, value):
+            out.append(gap)
+        elif name == "LITERAL":
+            out.append(chr(value))
+        elif name == "IN":
+            kinds = [v for v in value if str(v[0]) in ("LITERAL", "RANGE")]
+            out.append(" " if not kinds else chr(kinds[0][1] if str(kinds[0][0]) == "LITERAL" else kinds[0][1][0]))
+        elif name in ("ANY", "NOT_LITERAL"):
+            out.append("y")
+        elif name == "SUBPATTERN":
+            out.append(some_match(value[3], draw, gap))
+        elif name == "BRANCH":
+            out.append(some_match(draw.choice(value[1]), draw, gap))
+        elif name == "MAX_REPEAT":
+            out += [some_match(value[2], draw, gap) for _ in range(draw.randint(value[0], min(value[1], value[0] + 1)))]
+    return "".join(out)
+
+
+@pytest.mark.parametrize("gap", [" ", "  ", "\n * ", "\r\n# ", "\u00a0", "' /* "])
+def test_license_keywords_skip_no_match(gap):
+    draw, matched = random.Random(4), 0
+    for rule in licenses.rules():
+        for _ in range(12):
+            text = some_match(licenses._parser.parse(rule.pattern.pattern, re.S), draw, gap)
+            matched += rule.pattern.search(re.sub(r"[^\S ]", " ", text)) is not None
+            assert licenses.detect(text) == without_prefilter(text), (rule.name, text)
+    assert matched > 5000
+    assert all(min(map(len, licenses.keywords(r.pattern))) > 2 for r in licenses.rules())
+
+
+def test_license_wrapped_notices():
+    assert {d.label for d in licenses.detect("the gnu general\n * public license version 3")} == {"gpl-3.0"}
+    assert {d.label for d in licenses.detect("permission is hereby granted, free of\n// charge, to any person obtaining a copy of this software and associated documentation files")} == {"mit"}
+    assert {d.label for d in licenses.detect("under the expat license")} == {"mit"}
+
+
 def test_license_awkward(spark):
     got = licenses.scan_licenses(messy(spark)).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows())
