@@ -1,10 +1,10 @@
 """Near-duplicate documents by ProbMinHash.
 
-Shingles are five words; a shingle that stands c times weighs 1 + ln c. Each shingle is a Poisson
+Shingles are five words; each weighs 1, however often it stands in a document. Each shingle is a Poisson
 process of that rate: its arrivals fall into random registers, a register keeps the first arrival, and
 a shingle stops when its next arrival is later than every register of its document. Two documents agree
-in a register with the probability Jaccard index of their weighted shingles, so bands of registers
-bring alike documents together; pairs are then verified on whole shingle sets (``similar``).
+in a register with the probability Jaccard index of their shingles, which for equal weights is the Jaccard
+index of the sets, so bands of registers bring alike documents together; pairs are then verified on whole shingle sets (``similar``).
 
 Documents with the same words are one item from the start, so exact copies, however many, add no pairs.
 
@@ -52,8 +52,8 @@ def sketch(column: pa.Array, rows: int = ROWS, bands: int = BANDS) -> pa.RecordB
     """key (hash of the word sequence), n (distinct shingles) and band hashes of each text; 0 and none without words."""
     words = split(column)
     n_docs = len(column)
-    doc, values, counts = tally(*shingles(words.doc, words.hashes))
-    signatures = prob_minhash(doc, values, 1 + np.log(counts), n_docs, rows * bands)
+    doc, values, _ = tally(*shingles(words.doc, words.hashes))
+    signatures = prob_minhash(doc, values, np.ones(len(values)), n_docs, rows * bands)
     sizes = np.bincount(doc, minlength=n_docs)
     hashed = [row if size else row[:0] for row, size in zip(band_hashes(signatures, rows).view(np.int64), sizes)]
     return pa.RecordBatch.from_arrays([

@@ -112,6 +112,21 @@ def test_registers_agree_as_the_probability_index():
     assert (tiny[0] == ids[0]).all()
 
 
+def test_repeats_inside_a_document_do_not_part_candidates():
+    base = [f"b{k}" for k in range(600)]
+    texts = [" ".join(base), " ".join(base + base[:124] * 1000), " ".join(base[:500] + base[:100] * 200)]
+    found = near_dedup.sketch(pa.array(texts))
+    own = words.split(pa.array(texts))
+    sets = [set(h[g == k].tolist()) for g, h in [words.shingles(own.doc, own.hashes)] for k in range(3)]
+    signatures = near_dedup.prob_minhash(*[x for d, v, _ in [words.tally(*words.shingles(own.doc, own.hashes))] for x in (d, v, np.ones(len(v)))], 3, 80)
+    bands = found["bands"].to_pylist()
+    for a, b in ((0, 1), (0, 2), (1, 2)):
+        alike = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+        assert alike >= 0.8 and abs((signatures[a] == signatures[b]).mean() - alike) < 0.12
+        expected = 20 * alike**4
+        assert sum(x == y for x, y in zip(bands[a], bands[b])) > expected - 6
+
+
 def test_components_of_a_chain(spark):
     chain = [(k, k + 1) for k in range(0, 60)] + [(100, 103), (103, 101), (200, 201)]
     got = {r.key: r.label for r in similar.components(spark.createDataFrame(chain, "a long, b long")).collect()}
