@@ -11,9 +11,10 @@ and their parts scored exactly. Every part at or above the threshold is found, a
 
 Passages are ``2 * CELL`` words long and start every ``CELL`` words, so each part lies whole inside one.
 
-Verification: the words of an item fall into a question and an answer (all after its last question mark,
-else its last sentence; none if there is but one sentence). A document leaks an item if the passages that
-were retrieved for it hold at least ``OVERLAP`` of the five-word runs of the question and of the answer.
+Verification: a document for which a part of an item was retrieved is compared with the item as a whole,
+wherever in it the words stand. An item with a question mark inside is a question and an answer (all after its
+last question mark), any other is one piece. The document leaks the item if it holds at least ``OVERLAP`` of
+the five-word runs of each piece; of an answer of fewer than ``SHORT`` words, of its words.
 
 The test items are read in shards of bounded size, each a broadcast index; documents pass from one
 shard's scan to the next in the same task, so nothing is shuffled.
@@ -33,11 +34,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick, slices
-from .words import ALNUM, SHINGLE, split
+from .words import ALNUM, SHINGLE, shingles, split
 
 CELL = 64
 THRESHOLD = 0.5
 OVERLAP = 0.5
+SHORT = 2 * SHINGLE
 BLOCK_PARTS = 2
 K1, B = 1.2, 0.75
 SHARD_BYTES = 8 << 20
@@ -55,9 +57,19 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (body[: at + 1], body[at + 1 :]) if at >= 0 else (body, "")
 
 
-def _runs(hashes: list[int]) -> set[tuple[int, ...]]:
-    size = min(SHINGLE, len(hashes))
-    return {tuple(hashes[k : k + size]) for k in range(len(hashes) - size + 1)} if size else set()
+def _runs(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """Distinct hashes of the runs of ``size`` words of one text."""
+    return np.unique(shingles(np.zeros(len(hashes), np.int64), hashes, size)[1])
+
+
+def _pieces(text: str) -> list[tuple[int, np.ndarray]]:
+    """(words a run, distinct runs) of what a leak must hold of an item: question and answer, or the whole."""
+    question, answer = question_and_answer(text)
+    halves = [split(pa.array([half])).hashes for half in (question, answer)]
+    if not question.endswith("?") or not all(map(len, halves)):
+        halves = [split(pa.array([text])).hashes]
+    sizes = [min(SHINGLE, len(halves[0]))] + [1 if len(w) < SHORT else SHINGLE for w in halves[1:]]
+    return [(size, _runs(w, size)) for size, w in zip(sizes, halves) if len(w)]
 
 
 class ItemIndex:
@@ -66,8 +78,7 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, str]], frequency: dict[int, int], n_parts: int, mean_words: float, threshold: float, overlap: float):
         self.threshold, self.overlap = threshold, overlap
         self.items = [i for i, _ in items]
-        halves = [question_and_answer(text) for _, text in items]
-        self.halves = [tuple(_runs(split(pa.array([half])).hashes.tolist()) for half in pair) for pair in halves]
+        self.pieces = [_pieces(text) for _, text in items]
         parts: list[tuple[int, list[int]]] = [(k, w[a : a + CELL]) for k, (_, text) in enumerate(items)
                                               for w in [split(pa.array([text])).hashes.tolist()] for a in range(0, len(w), CELL)]
         self.part_item = np.array([k for k, _ in parts], np.int64)
@@ -124,7 +135,7 @@ class ItemIndex:
         cell = cell_first[words.doc] + place // CELL
         hit = np.flatnonzero((term >= 0) & self.early[term])
         bounds = self._bounds(cell[hit], term[hit], int(cell_first[-1]))
-        retrieved: dict[tuple[int, int], list[tuple[int, float]]] = defaultdict(list)
+        retrieved: dict[int, dict[int, float]] = defaultdict(dict)
         for passage, blocks in bounds:
             doc = int(np.searchsorted(cell_first, passage, "right") - 1)
             start = int(firsts[doc] + (passage - cell_first[doc]) * CELL)
@@ -132,11 +143,14 @@ class ItemIndex:
             if start >= end:  # the cell between two texts
                 continue
             for part, score in self._parts(term[start:end], blocks):
-                retrieved[doc, int(self.part_item[part])].append((start, score))
-        for (doc, item), passages in retrieved.items():
-            if self._verified(item, [words.hashes[s : min(s + 2 * CELL, int(firsts[doc + 1]))].tolist() for s in sorted({s for s, _ in passages})]):
-                leaks[doc].append(self.items[item])
-                best[doc] = max(best[doc], *(score for _, score in passages))
+                item = int(self.part_item[part])
+                retrieved[doc][item] = max(score, retrieved[doc].get(item, 0.0))
+        for doc, items in retrieved.items():
+            own, held = words.hashes[firsts[doc] : firsts[doc + 1]], {}
+            for item, score in items.items():
+                if self._verified(item, own, held):
+                    leaks[doc].append(self.items[item])
+                    best[doc] = max(best[doc], score)
         return [sorted(set(found)) for found in leaks], best
 
     def _bounds(self, cell: np.ndarray, term: np.ndarray, n_cells: int):
@@ -172,13 +186,13 @@ class ItemIndex:
         good = score >= self.threshold - 1e-9
         return list(zip(part[good].tolist(), score[good].tolist()))
 
-    def _verified(self, item: int, passages: list[list[int]]) -> bool:
-        for half in self.halves[item]:
-            if half:
-                size = len(next(iter(half)))
-                held = {tuple(p[k : k + size]) for p in passages for k in range(len(p) - size + 1)}
-                if len(half & held) < self.overlap * len(half):
-                    return False
+    def _verified(self, item: int, own: np.ndarray, held: dict[int, np.ndarray]) -> bool:
+        """Do the words of a document hold enough of each piece? ``held`` keeps its runs by size."""
+        for size, runs in self.pieces[item]:
+            if size not in held:
+                held[size] = _runs(own, size) if len(own) >= size else own[:0]
+            if np.isin(runs, held[size], assume_unique=True).sum() < self.overlap * len(runs):
+                return False
         return True
 
 

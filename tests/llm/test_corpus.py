@@ -263,6 +263,16 @@ def test_block_max_search_equals_scoring_every_part(documents):
         assert all(best[k] >= 0.3 - 1e-6 for k in found) and {k for k, v in best.items() if v >= 0.3 + 1e-6} <= set(found)
 
 
+def test_decontamination_of_edited_ends_and_of_halves_apart(spark):
+    said = lambda tag, n: " ".join(f"{tag}{k}" for k in range(n))
+    items = [(1, said("a", 40) + ". last one here."), (2, said("q", 90) + "? " + said("r", 12)), (3, said("s", 30) + "? forty two degrees"), (4, said("u", 30) + ". ñ"), (5, said("v", 70) + ". " + said("w", 70))]
+    docs = [(1, said("x", 50) + " " + said("a", 40) + ". last two here. " + said("y", 50)), (2, said("q", 90) + " " + said("x", 300) + " " + said("r", 12)),
+            (3, said("s", 30) + " " + said("x", 9) + " forty three degrees"), (4, said("u", 30) + " n " + said("z", 20)), (5, said("q", 90) + said("x", 300)), (6, said("s", 30) + " " + said("x", 40)),
+            (7, said("v", 70) + " " + said("x", 500) + " " + said("w", 70)), (8, said("v", 40) + " " + said("x", 100))]
+    got = decontaminate.decontamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {r.doc_id: r.item_ids for r in got} == {1: [1], 2: [2], 3: [3], 4: [4], 5: [], 6: [], 7: [5], 8: []}
+
+
 def test_decontamination_awkward(spark):
     long_item = " ".join(f"term{k}" for k in range(300)) + ". Answer is forty two."
     items = spark.createDataFrame([(1, "what fox jumps over the lazy dog and runs away? here to there every single day"), (2, None), (3, ""), (None, "x y z"), (4, long_item), (5, long_item), (6, "?")], "item_id long, text string")
