@@ -10,7 +10,7 @@ Documents with the same words are one item from the start, so exact copies, howe
 
 Defined results: a null text is empty; a document without words is a class of its own; a document of
 fewer than five words has one shingle, all of them; a null ``doc_id`` never names a class with another
-id in it; repeated rows fall into one class; an empty table gives no rows; other columns are ignored.
+id in it; rows of one doc_id are judged by their own texts; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, pick, slices, unused
@@ -62,24 +62,44 @@ def sketch(column: pa.Array, rows: int = ROWS, bands: int = BANDS) -> pa.RecordB
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(key, shingles) of (key, text): the sorted distinct shingle hashes as bytes."""
+    """(key, shingles) of the rows of (key, text) whose text has that key: the sorted distinct shingle hashes as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             words = split(batch.column(1))
+            own = np.flatnonzero(whole_hash(words.doc, words.hashes, batch.num_rows).view(np.int64) == batch.column(0).to_numpy())
             doc, values, _ = tally(*shingles(words.doc, words.hashes))
             cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([values[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["key", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array([values[cuts[k] : cuts[k + 1]].tobytes() for k in own], pa.binary())], names=["key", "shingles"])
 
     return docs.select("key", "text").mapInArrow(run, "key long, shingles binary")
 
 
+def _word_key(text: Column) -> Column:
+    """Hash of the word sequence of each text; 0 without words."""
+
+    @F.arrow_udf("long")
+    def key(column: pa.Array) -> pa.Array:
+        parts = [pa.array([], pa.int64())]
+        for part in slices([pa.RecordBatch.from_arrays([column], names=["text"])], "text"):
+            words = split(part.column(0))
+            parts.append(pa.array(whole_hash(words.doc, words.hashes, part.num_rows).view(np.int64)))
+        return pa.concat_arrays(parts)
+
+    return key(text)
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document of (doc_id, text): doc_id, class_id, n_links.
 
     ``class_id`` is the smallest doc_id of the class; ``n_links`` counts the verified links of the
     document's text to different texts of the class that the search needed to find the class.
     """
+    return _classes(docs, threshold).select("doc_id", "class_id", "n_links")
+
+
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """``near_duplicates`` with the key of the row's text and the least key of the class id's rows in the class."""
     docs = pick(docs, doc_id="long", text="string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,6 +110,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = cut_lineage(docs.mapInArrow(run, "doc_id long, key long, n int, bands array<long>"))
     worded = rows.filter("n > 0")
     heads = worded.groupBy("key").agg(F.min("doc_id").alias("head"))
+    top = F.min(F.when(F.col("head").isNotNull(), F.struct("head", "key")))
     items = worded.groupBy("key").agg(F.first("n").alias("n"), F.first("bands").alias("bands"))
 
     def sets_of(keys: DataFrame) -> DataFrame:
@@ -98,30 +119,31 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     found = link_items(items.join(heads.filter("head is not null").select("key"), "key", "left_semi"), sets_of, threshold)
     if found is None:
-        classes = heads.select("key", F.col("head").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+        classes = heads.select("key", F.col("head").alias("class_id"), F.col("key").alias("class_key"), F.lit(0).cast("long").alias("n_links"))
     else:
         links, labels = found
         ends = links.select(F.col("a").alias("key")).union(links.select("b")).groupBy("key").agg(F.count("*").alias("n_links"))
         joined = labels.join(heads, "key")
-        tops = joined.groupBy("label").agg(F.min("head").alias("class_id"))
-        linked = joined.join(tops, "label").select("key", "class_id").join(ends, "key")
+        tops = joined.groupBy("label").agg(top.alias("top")).select("label", F.col("top.head").alias("class_id"), F.col("top.key").alias("class_key"))
+        linked = joined.join(tops, "label").select("key", "class_id", "class_key").join(ends, "key")
         classes = (heads.join(linked, "key", "left")
-                   .select("key", F.coalesce("class_id", "head").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
-    alone = rows.filter("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return worded.select("doc_id", "key").join(classes, "key").select("doc_id", "class_id", "n_links").unionByName(alone)
+                   .select("key", F.coalesce("class_id", "head").alias("class_id"), F.coalesce("class_key", "key").alias("class_key"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")))
+    alone = rows.filter("n = 0").select("doc_id", "key", F.col("doc_id").alias("class_id"), F.col("key").alias("class_key"), F.lit(0).cast("long").alias("n_links"))
+    return worded.select("doc_id", "key").join(classes, "key").select("doc_id", "key", "class_id", "class_key", "n_links").unionByName(alone)
 
 
 def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with one row of each class: that of the class id.
+    """``docs`` with one row of each class: of the class id's rows in it, that of the least key and text.
 
-    Rows of one doc_id are one document: it goes if all of them belong to another's class, and
-    leaves one row (that of the smallest text) if not. Rows without a doc_id all stay.
+    Rows of one doc_id whose texts fall into different classes are judged each for itself. Rows without a
+    doc_id all stay.
     """
-    found = near_duplicates(docs, threshold)
-    gone_id, turn = unused(docs, "gone"), unused(docs, "turn")
-    gone = found.groupBy("doc_id").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).filter("doc_id <> low AND doc_id <> high")
-    named = docs.filter(F.col("doc_id").isNotNull())
-    kept = named.join(gone.select(F.col("doc_id").alias(gone_id)), named["doc_id"].cast("long") == F.col(gone_id), "left_anti")
-    once = Window.partitionBy("doc_id").orderBy("text")
-    kept = kept.withColumn(turn, F.row_number().over(once)).filter(F.col(turn) == 1).drop(turn)
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    key, turn = unused(docs, "word_key"), unused(docs, "turn")
+    kept_id, kept_key = unused(docs, "kept_id"), unused(docs, "kept_key")
+    firsts = (_classes(docs, threshold).filter("doc_id = class_id AND key = class_key").select(F.col("doc_id").alias(kept_id), F.col("key").alias(kept_key)).distinct())
+    text = F.col("text").cast("string")
+    named = docs.filter(F.col("doc_id").cast("long").isNotNull()).withColumn(key, _word_key(text))
+    kept = named.join(firsts, (F.col("doc_id").cast("long") == F.col(kept_id)) & (F.col(key) == F.col(kept_key)), "left_semi")
+    once = Window.partitionBy(F.col("doc_id").cast("long"), key).orderBy(text)
+    kept = kept.withColumn(turn, F.row_number().over(once)).filter(F.col(turn) == 1).drop(turn, key)
+    return kept.unionByName(docs.filter(F.col("doc_id").cast("long").isNull()))

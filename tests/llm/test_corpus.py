@@ -96,6 +96,16 @@ def test_near_duplicates_awkward(spark):
     assert near_dedup.keep_one_of_each(empty(spark)).count() == 0
 
 
+def test_unlike_texts_of_one_doc_id(spark):
+    a, b, c = ([f"{text} end {k}" for k in range(3)] for text in (" ".join(f"{tag}{k}" for k in range(90)) for tag in "abc"))
+    docs = [(1, a[0]), (1, b[0]), (1, a[0]), (2, a[1]), (3, b[1]), (3, c[0]), (4, a[2]), (5, ""), (5, None), (1, "of its own")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.class_id) for r in near_dedup.near_duplicates(df).collect())
+    assert got == Counter([(1, 1)] * 4 + [(2, 1), (3, 1), (3, 3), (4, 1), (5, 5), (5, 5)])
+    kept = sorted((r.doc_id, r.text or "") for r in near_dedup.keep_one_of_each(df).collect())
+    assert kept == sorted([(1, a[0]), (1, b[0]), (3, c[0]), (5, ""), (1, "of its own")])
+
+
 def test_registers_agree_as_the_probability_index():
     draw = np.random.default_rng(5)
     ids = draw.integers(1, 2**62, 400).astype(np.uint64)
