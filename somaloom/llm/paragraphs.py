@@ -206,7 +206,8 @@ def repeated_runs(docs: DataFrame, size: int) -> DataFrame:
     heads = each.groupBy("window").agg(F.min(at).alias("head"), F.count("*").alias("c"))
     headed = each.join(heads, "window").join(texts.select("t", "copies"), "t").filter("c > 1 OR copies > 1")
     is_head = F.col("first").eqNullSafe(F.col("head.doc_id")) & (F.col("place") == F.col("head.place"))
-    owns = F.when(is_head, F.array(F.lit(False))).otherwise(F.array(F.lit(True), F.lit(False)))
+    copied = F.col("copies") > 1  # a text that stands once has no other document
+    owns = F.when(copied & ~is_head, F.array(F.lit(True), F.lit(False))).when(copied, F.array(F.lit(False))).when(~is_head, F.array(F.lit(True)))
     marked = headed.select("t", F.explode(owns).alias("own"), "place", "start", "end", F.col("head.doc_id").alias("first_doc"))
     stretch = F.col("place") - F.dense_rank().over(Window.partitionBy("t", "own", "first_doc").orderBy("place"))
     runs = marked.withColumn("stretch", stretch).groupBy("t", "own", "first_doc", "stretch").agg(F.min("start").alias("start"), F.max("end").alias("end"))
