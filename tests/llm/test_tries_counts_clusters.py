@@ -154,39 +154,34 @@ PARTS = st.sampled_from(["don't", "I'LL", "'s", "...", "word", "WORD", "é", "e
 @settings(max_examples=300, deadline=None)
 @given(st.lists(PARTS, max_size=14).map("".join) | st.text(max_size=30))
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_pieces_of_pre_tokens_add_up(name, text):
-    path = public_tokenizers.path(name)
-    cut, count = token_counts.cutter(path), token_counts.piece_counter(path)
+def test_pieces_of_pre_tokens_add_up(cutters, name, text):
+    cutter, whole = cutters[name]
     for blocks in ([text], list(token_counts._blocks(text, 3))):
         assert "".join(blocks) == text
-        assert sum(sum(count(cut(b))) for b in blocks) == len(library_of(path).encode(text, add_special_tokens=False).ids)
+        assert sum(sum(cutter.pieces(cutter.cut(u))) for b in blocks for u in cutter.units(b)) == len(whole.encode(text, add_special_tokens=False).ids)
 
 
-_held = {}
+@pytest.fixture(scope="module")
+def cutters():
+    return {name: (token_counts.Cutter(public_tokenizers.path(name)), library(name)) for name in ("word_bpe_49k.json", "byte_bpe_50k.json")}
 
 
-def library_of(path):
-    from tokenizers import Tokenizer
-
-    return _held.setdefault(path, Tokenizer.from_file(path)) if path not in _held else _held[path]
-
-
-def test_each_distinct_pre_token_is_counted_once(spark, monkeypatch):
-    words = ["the"] * 500 + [f"w{k % 40}" for k in range(400)] + ["", " "]
-    given_rows = [(f"c{k}", k, w) for k, w in enumerate(words)]
-    df = spark.createDataFrame(given_rows, "chunk string, place int, word string")
+def test_each_distinct_pre_token_is_counted_once(spark):
+    words = ["the"] * 500 + [f"w{k % 40}" for k in range(400)] + ["Ġ", token_counts.WHOLE + "<|endoftext|>"]
+    given_rows = [(k % 7, k, w) for k, w in enumerate(words)]
+    df = spark.createDataFrame(given_rows, "chunk long, place int, word string")
     seen = pa.array(words).unique().to_pylist()
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
     try:
         got = token_counts.piece_counts(df, TOKENIZER).collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    n = dict(zip(seen, token_counts.piece_counter(TOKENIZER)(seen)))
+    n = dict(zip(seen, token_counts.Cutter(TOKENIZER).pieces(seen)))
     assert sorted((r.chunk, r.place, r.n) for r in got) == sorted((c, p, n[w]) for c, p, w in given_rows)
 
 
 def test_packed_numbers():
-    numbers = np.array([0, 1, 127, 128, 16383, 16384, 2**21, 2**28, 2**32 - 1, 5])
+    numbers = np.array([0, 1, 127, 128, 16383, 16384, 2**21, 2**28, 2**32 - 1, 2**63, 2**64 - 1, 5], np.uint64)
     assert token_counts._read(token_counts._varied(numbers)).tolist() == numbers.tolist()
     assert not len(token_counts._read(token_counts._varied(np.zeros(0, np.int64))))
 
