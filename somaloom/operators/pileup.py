@@ -8,12 +8,16 @@ with very many reads never gathers in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from somaloom.functions import pileup_text
 
 MAD_SCALE = 1.4826
 
@@ -48,63 +52,24 @@ def int_list(packed) -> Column:
     return F.transform(F.split(packed, ","), lambda c: c.try_cast("int"))
 
 
-def _pieces(read_bases) -> Column:
-    """Base string without read-start marks (and their quality character) and read-end
-    marks, cut before each indel mark. An empty row counts as the two bases ``ZA``."""
-    text = F.when(F.col(read_bases).isNull() | (F.col(read_bases) == ""), "ZA").otherwise(F.col(read_bases))
-    return F.split(F.translate(F.regexp_replace(text, r"\^.", ""), "$", ""), r"(?=[+-][0-9])")
-
-
-def _tokens(pieces: Column) -> Column:
-    """Array of (allele, strand), one per read.
-
-    An indel mark replaces the allele of the base in front of it, and its length says
-    where the next bases start.
-    """
-
-    def indel(piece: Column) -> Column:
-        digits = F.regexp_extract(piece, "^[+-]([0-9]+)", 1)
-        return F.upper(F.substring(piece, F.lit(1), 1 + F.length(digits) + digits.try_cast("int")))
-
-    def one(piece: Column, i: Column) -> Column:
-        follows = F.get(pieces, i + 1)
-        # every piece but the first starts with its indel mark
-        bases = F.when(i == 0, piece).otherwise(F.substring(piece, F.length(indel(piece)) + 1, F.length(piece)))
-        chars = F.filter(F.split(bases, ""), lambda c: c != "")
-        last = F.size(chars) - 1
-
-        def token(c: Column, j: Column) -> Column:
-            marked = (j == last) & follows.isNotNull()
-            allele = (
-                F.when(marked, indel(follows)).when(c.isin(".", ","), "REF")
-                .when(c == "*", "DELREFCIGAR").otherwise(F.upper(c))
-            )
-            reverse = (c == ",") | (~marked & c.between("a", "z"))
-            return F.struct(allele.alias("allele"), F.when(reverse, "R").otherwise("F").alias("strand"))
-
-        return F.transform(chars, token)
-
-    return F.flatten(F.transform(pieces, one))
-
-
 def explode_pileup(df: DataFrame, keys: Sequence[str] = ("sample_id", "chrom", "pos", "ref")) -> DataFrame:
     """Packed pileup rows (``read_bases, bq, mq, bp_start, aln_score, cigar``) to one row per read-base.
 
-    Native expressions only: one pass over each string, arrays zipped by position.
+    Whole Arrow columns are decoded at once (:mod:`somaloom.functions.pileup_text`, which states the rules), in runs of
+    about a megabyte of bases; no shuffle.
     """
-    zipped = F.arrays_zip(
-        _tokens(F.col("_pieces")).alias("tok"), phred_decode("bq").alias("bq"), phred_decode("mq").alias("mq"),
-        int_list("bp_start").alias("bp_start"), int_list("aln_score").alias("aln_score"),
-        F.split("cigar", ",").alias("cigar"),
-    )
-    cut = df.withColumn("_pieces", _pieces("read_bases"))
-    flat = cut.select(*keys, F.posexplode(zipped).alias("read_no", "_z")).filter(F.col("_z.tok").isNotNull())
-    out = flat.select(
-        *keys, "read_no", F.col("_z.tok.allele").alias("allele"), F.col("_z.tok.strand").alias("strand"),
-        F.col("_z.mq").alias("mq"), F.col("_z.bq").alias("bq"), F.col("_z.bp_start").alias("bp_start"),
-        F.col("_z.aln_score").alias("aln_score"), F.col("_z.cigar").alias("cigar"),
-    )
-    return out.withColumn("clipped", F.coalesce(F.col("cigar").rlike("[HS]"), F.lit(False)))
+    keys = list(keys)
+    packed = ["read_bases", "bq", "mq", "bp_start", "aln_score", "cigar"]
+    kinds = [*(df.schema[k] for k in keys), *T.StructType.fromDDL(
+        "read_no int, allele string, strand string, mq int, bq int, bp_start int, aln_score int, cigar string, clipped boolean").fields]
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pileup_text.slices(batch, "read_bases"):
+                yield pileup_text.decode(part, keys)
+
+    shaped = df.select(*keys, *[F.col(c).cast("string").alias(c) for c in packed])
+    return shaped.mapInArrow(decode, T.StructType(kinds))
 
 
 def pileup_variant_id(chrom="chrom", pos="pos", ref="ref", allele="allele") -> Column:
