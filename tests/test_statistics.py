@@ -120,3 +120,36 @@ def test_fraction_that_does_not_converge_is_an_error(monkeypatch):
     monkeypatch.setattr(stats.math, "sqrt", lambda x: -99.0)
     with pytest.raises(ArithmeticError):
         stats._beta_fraction(np.array([5e5]), np.array([5e5]), np.array([0.5]))
+
+
+def test_close_and_tied_values_fall_into_even_ranges(spark):
+    """A million values within one per cent, 60 % of all rows one value: no range is above three times the median."""
+    n = 1_000_000
+    x = F.when(F.pmod(F.xxhash64("id"), F.lit(5)) < 3, 0.995).otherwise(0.99 + F.pmod(F.xxhash64("id", F.lit(7)), F.lit(10**9)) / 1e11)
+    df = spark.range(n).select("id", x.alias("p"))
+    written = ranks.value_ranges(df, "p")
+    sizes = sorted(r["count"] for r in written.groupBy("_range").count().collect())
+    assert len(sizes) >= 4 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    order = written.groupBy("_range").agg(F.min("p").alias("a"), F.max("p").alias("b")).orderBy("_range").collect()
+    assert all(one.b < two.a for one, two in zip(order, order[1:]))
+    tasks = sorted(r["count"] for r in ranks.dealt(written).groupBy(F.spark_partition_id().alias("t")).count().collect())
+    assert tasks[-1] <= 3 * tasks[len(tasks) // 2]
+    q = ranks.bh_adjust(df, "p")
+    per_task = sorted(r["count"] for r in q.groupBy(F.spark_partition_id().alias("t")).count().collect())
+    assert per_task[-1] <= 3 * per_task[len(per_task) // 2]
+    values = {r.p: r["count"] for r in df.groupBy("p").count().collect()}
+    p = np.array(sorted(values))
+    high = np.cumsum([values[v] for v in p.tolist()])
+    want = np.minimum(1, np.minimum.accumulate((p * n / high)[::-1])[::-1])
+    got = {r.p: r.q for r in q.select("p", "q").distinct().collect()}
+    assert len(got) == len(p) and np.allclose([got[v] for v in p.tolist()], want, rtol=1e-12)
+
+
+def test_ranks_with_clashing_names_and_empty_tables(spark):
+    rows = [(1, 0.5, 9, True, 3), (2, 0.1, 9, None, 3), (3, 0.5, None, None, 3), (4, None, 9, None, 3)]
+    df = spark.createDataFrame(rows, "i int, p double, ties int, _is_hot boolean, _range int")
+    got = {r.i: r.q for r in ranks.bh_adjust(df.drop("_is_hot", "_range"), "p").collect()}
+    assert got == {1: 0.5, 2: pytest.approx(0.3), 3: 0.5, 4: None}
+    assert ranks.bh_adjust(df.limit(0), "p").count() == 0 and ranks.average_rank(df.limit(0), "p").count() == 0
+    again = ranks.bh_adjust(ranks.bh_adjust(df.select("i", "p"), "p"), "p")
+    assert again.columns == ["i", "p", "q"] and again.count() == 4
