@@ -98,6 +98,15 @@ def relevance_verdict(d):
     return A.relevance_verdict(d.annotation).select("csq_no", "variant_id", "consequence_class", "clin_summary", "evidence", "relevance")
 
 
+@query("existing_variation_combined", """
+SELECT csq_no, variant_id, CASE WHEN a IS NULL AND b IS NULL THEN 'NoRecord' ELSE concat_ws('|', a, b) END AS existing_variation_combined
+FROM (SELECT csq_no, variant_id, existing AS a, CASE WHEN csq_no % 3 = 0 THEN concat('rs', CAST(csq_no AS STRING)) END AS b FROM {annotation})""")
+def existing_variation_combined(d):
+    second = F.expr("CASE csq_no % 3 WHEN 0 THEN concat(' rs', CAST(csq_no AS STRING)) WHEN 1 THEN ' ' END")
+    rows = d.annotation.withColumn("vep_existing", second)
+    return rows.select("csq_no", "variant_id", A.existing_variation_combined().alias("existing_variation_combined"))
+
+
 @query("priority_variants", """
 SELECT variant_id, csq_no, impact, verdict FROM {verdict_rows} WHERE variant_id IN (SELECT variant_id FROM {population} WHERE filter_status = 'PASS')
   AND ((impact = 'HIGH' AND verdict <> 'Benign') OR (verdict IN ('Pathogenic', 'Likely_Pathogenic') AND impact IN ('HIGH', 'MODERATE')))""")

@@ -107,6 +107,22 @@ def variant_pass(d):
                               P.pass_fail("variant_pass").alias("verdict"))
 
 
+_CHOSEN = "SELECT variant_id FROM {sites} WHERE pos % 4 <> 1"
+_PRIORITY = "SELECT variant_id FROM {sites} WHERE pos % 7 = 2"
+
+
+@query("pileup_status", f"""
+SELECT sample_id, variant_id, CASE WHEN as_pass THEN 'Pass' ELSE 'Fail' END AS as_filter, CASE WHEN clip_pass THEN 'Pass' ELSE 'Fail' END AS propclipped_filter,
+       CASE WHEN bppos_pass THEN 'Pass' ELSE 'Fail' END AS bppos_filter, CASE WHEN chosen AND kept THEN 'Pass' ELSE 'Fail' END AS depth_filter,
+       CASE WHEN chosen AND NOT kept THEN 'Yes' ELSE 'No' END AS present_vcf_not_in_bam, CASE WHEN variant_pass AND NOT chosen THEN 'Yes' ELSE 'No' END AS present_bam_not_in_vcf,
+       CASE WHEN chosen AND kept THEN 'Pass' ELSE 'Fail' END AS verdict
+FROM (SELECT f.*, variant_id IN ({_CHOSEN}) AS chosen, variant_pass OR (alt <> 'REF' AND variant_id IN ({_PRIORITY})) AS kept FROM {{filtered}} f)""")
+def pileup_status(d):
+    rows = P.pileup_status(filtered(d), d.sites.filter("pos % 4 <> 1"), d.sites.filter("pos % 7 = 2"))
+    return rows.select("sample_id", "variant_id", "as_filter", "propclipped_filter", "bppos_filter", "depth_filter",
+                       "present_vcf_not_in_bam", "present_bam_not_in_vcf", "verdict")
+
+
 @query("prefilter_aggregate", """
 SELECT variant_id, count(*) AS n_cells, min(chrom) AS chrom, min(pos) AS pos, min(ref) AS ref, min(alt) AS alt,
        round(avg(n_hq_f), 4) AS mean_n_hq_f, round(avg(median_as), 4) AS mean_median_as, round(avg(sd_r), 4) AS mean_sd_r,

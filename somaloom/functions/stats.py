@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import DoubleType
 
 # lgamma(y) ~ (y-1/2)ln y - y + ln(2 pi)/2 + sum_k c_k / y^(2k-1), Stirling's series
 STIRLING = (1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188)
@@ -143,17 +143,57 @@ def rho_grid() -> list[float]:
     return [10 ** (-6 + 0.05 * i) for i in range(120)]
 
 
-@pandas_udf(ArrayType(DoubleType()))
-def betabinom_grid(nv: pd.Series, nr: pd.Series, mu: pd.Series) -> pd.Series:
-    """Beta-binomial log-likelihood of each (nv, nr) at every grid overdispersion.
+_BLOCK = 4096  # likelihood rows held at a time
 
-    Terms that do not depend on the overdispersion are left out.
+
+def _summed_terms(owner: np.ndarray, value: np.ndarray, weight: np.ndarray, share: np.ndarray, n: int, s: np.ndarray) -> np.ndarray:
+    """Per owner and grid point: sum of weight * (lgamma(share * s + value) - lgamma(share * s)), equal values once."""
+    out = np.zeros((n, len(s)))
+    some = value > 0
+    owner, value, weight = owner[some], value[some], weight[some]
+    order = np.lexsort((value, owner))
+    owner, value, weight = owner[order], value[order], weight[order]
+    first = np.flatnonzero((np.diff(owner, prepend=-1) != 0) | (np.diff(value, prepend=-1) != 0))
+    if not len(first):
+        return out
+    owner, value, weight = owner[first], value[first], np.add.reduceat(weight, first)
+    for start in range(0, len(owner), _BLOCK):
+        part = slice(start, start + _BLOCK)
+        base = share[owner[part]][:, None] * s[None, :]
+        terms = log_rising(base, value[part][:, None].astype(float) + 0 * base) * weight[part][:, None]
+        edge = np.flatnonzero(np.diff(owner[part], prepend=-1))
+        out[owner[part][edge]] += np.add.reduceat(terms, edge, axis=0)
+    return out
+
+
+def betabinom_best(nv: list, nr: list, weight: list) -> np.ndarray:
+    """Grid overdispersion of each variant from its cells' counts (``weight``: how many cells have them); NaN without coverage.
+
+    The likelihood of a variant is a sum over the distinct values of nv, of nr - nv and of nr, each with the number of cells
+    that have it. Terms that do not depend on the overdispersion are left out. Likelihoods are compared at seven digits; the
+    first maximum wins.
     """
+    sizes = np.array([len(v) for v in nv], np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    flat = lambda lists: np.concatenate([np.asarray(v, np.int64) for v in lists]) if len(owner) else np.zeros(0, np.int64)
+    k, n, w = flat(nv), flat(nr), flat(weight)
+    total = lambda x: np.bincount(owner, x * w, minlength=len(sizes))
+    k_sum, n_sum = total(k), total(n)
+    covered = n_sum > 0
+    mu = np.divide(k_sum, n_sum, out=np.zeros(len(sizes)), where=covered)
+    seen = n > 0
+    owner, k, n, w = owner[seen], k[seen], n[seen], w[seen]
     rho = np.array(rho_grid())
-    s = ((1 - rho) / rho)[None, :]
-    k, n, m = (v.to_numpy(dtype=float)[:, None] for v in (nv, nr, mu))
-    scores = log_rising(m * s, k + 0 * s) + log_rising((1 - m) * s, n - k + 0 * s) - log_rising(s + 0 * n, n + 0 * s)
-    return pd.Series(list(scores))
+    s = (1 - rho) / rho
+    score = _summed_terms(owner, k, w, mu, len(sizes), s) + _summed_terms(owner, n - k, w, 1 - mu, len(sizes), s) - _summed_terms(owner, n, w, np.ones(len(sizes)), len(sizes), s)
+    return np.where(covered, rho[np.round(score, 7).argmax(axis=1)] if len(sizes) else 0.0, np.nan)
+
+
+@pandas_udf(DoubleType())
+def betabinom_rho_of(nv: pd.Series, nr: pd.Series, weight: pd.Series) -> pd.Series:
+    """Overdispersion of each variant, from arrays over its distinct (nv, nr) and the number of cells that have them."""
+    best = betabinom_best(nv.tolist(), nr.tolist(), weight.tolist())
+    return pd.Series(best).where(~np.isnan(best), None)
 
 
 def log10_or_neg_inf(x) -> Column:

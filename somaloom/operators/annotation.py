@@ -109,6 +109,12 @@ def clin_verdict(clin_sig="clin_sig", impact="impact") -> Column:
     )
 
 
+def existing_variation_combined(own="existing", found="vep_existing") -> Column:
+    """Known ids of both annotations joined by ``|``; ``NoRecord`` without any."""
+    given = lambda c: F.when(F.trim(_col(c)) != "", F.trim(_col(c)))
+    return F.when(given(own).isNull() & given(found).isNull(), "NoRecord").otherwise(F.concat_ws("|", given(own), given(found)))
+
+
 def relevance_verdict(
     df: DataFrame, impact="impact", consequence="consequence", clin_sig="clin_sig", max_af="max_af"
 ) -> DataFrame:

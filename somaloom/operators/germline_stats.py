@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from somaloom.functions.ranks import bh_adjust
-from somaloom.functions.stats import betabinom_grid, binomial_less_pvalue, log10_or_neg_inf, rho_grid
+from somaloom.functions.stats import betabinom_rho_of, binomial_less_pvalue, log10_or_neg_inf
 from somaloom.functions.variants import on_sex_chromosome
 
 VARIANT = ("variant_id", "chrom", "ref", "alt")
@@ -48,22 +48,15 @@ def germline_pvalues(counts: DataFrame, sex: str = "male") -> DataFrame:
 def betabinom_rho(counts: DataFrame, empty_as_one: bool = False, key: str = "variant_id") -> DataFrame:
     """Maximum-likelihood overdispersion per variant on a fixed grid; the first maximum wins.
 
-    Everything is keyed by the variant, so the table is shuffled once; a variant has one
-    row per cell. Cells with equal (nv, nr) are scored once and weighted, and the scores
-    are summed per grid value by an ordinary aggregate. Likelihoods are compared at seven
-    digits: variants without information tie and take the first grid value.
-    ``empty_as_one`` counts a cell without reads as one reference read.
+    Cells with equal (nv, nr) are one weighted entry before they move; a variant then is one row of arrays, scored as
+    a whole (:func:`somaloom.functions.stats.betabinom_best`). Variants without information tie and take the first grid
+    value; those without coverage have no row. ``empty_as_one`` counts a cell without reads as one reference read.
     """
     nr = F.greatest("nr", F.lit(1)) if empty_as_one else F.col("nr")
-    per_key = W.partitionBy(key)
-    rows = counts.select(key, "nv", nr.alias("nr")).withColumn(
-        "mu", F.try_divide(F.sum("nv").over(per_key), F.sum("nr").over(per_key))
-    )
-    pairs = rows.filter("nr > 0").groupBy(key, "mu", "nv", "nr").agg(F.count(F.lit(1)).alias("cells"))
-    scored = pairs.select(key, "cells", F.posexplode(betabinom_grid("nv", "nr", "mu")).alias("i", "ll"))
-    totals = scored.groupBy(key, "i").agg(F.sum(F.col("ll") * F.col("cells")).alias("ll"))
-    best = totals.groupBy(key).agg(F.min_by("i", F.struct((-F.round("ll", 7)).alias("l"), F.col("i"))).alias("_i"))
-    return best.select(key, F.get(F.array(*[F.lit(r) for r in rho_grid()]), F.col("_i")).alias("rho"))
+    pairs = counts.groupBy(key, "nv", nr.alias("nr")).agg(F.count(F.lit(1)).alias("cells"))
+    entries = pairs.groupBy(key).agg(F.collect_list(F.struct("nv", "nr", "cells")).alias("_e"))
+    rho = betabinom_rho_of(F.col("_e.nv"), F.col("_e.nr"), F.col("_e.cells"))
+    return entries.select(key, rho.alias("rho")).filter("rho IS NOT NULL")
 
 
 def variant_totals(counts: DataFrame, min_depth: float, max_depth: float, sex: str) -> DataFrame:

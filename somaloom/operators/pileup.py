@@ -97,53 +97,58 @@ def attach_cigar(pileup_reads: DataFrame, alignments: DataFrame) -> DataFrame:
 
 # ---- per-allele metrics ---------------------------------------------------------------------------
 
+LOCUS = ("sample_id", "chrom", "pos")
 METRIC_KEYS = ("sample_id", "variant_id", "chrom", "pos", "ref", "alt")
 
 
 def pileup_metrics(
     obs: DataFrame, mq: int = 30, bq: int = 30, bp: int = 15, read_length: int = 150,
-    allele: str = "allele", variant_id: str = "allele_id",
+    allele: str = "allele", variant_id: str = "allele_id", carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Counts and position statistics per (sample, allele), with position depths."""
-    keys = list(METRIC_KEYS)
+    """Counts and position statistics per (sample, allele), with position depths.
+
+    Reads are counted once, by strand, quality, read position, score and clipping; everything follows from those counts. Dealt by
+    locus, they serve the medians, the metrics and the position depths without another exchange. ``carry`` names columns that
+    depend on the sample only (its cohort).
+    """
+    keys = [*carry, *METRIC_KEYS]
     hq = F.coalesce((F.col("mq") >= mq) & (F.col("bq") >= bq), F.lit(False))
-    rows = obs.select(
-        "sample_id", F.col(variant_id).alias("variant_id"), "chrom", "pos", "ref", F.col(allele).alias("alt"),
-        "strand", "bp_start", "aln_score", "clipped", hq.alias("hq"),
-    )
-    fwd = F.col("strand") == "F"
-    counts = rows.groupBy(*keys).agg(
-        F.count_if(fwd).alias("n_all_f"), F.count_if(~fwd).alias("n_all_r"),
-        F.count_if(fwd & F.col("hq")).alias("n_hq_f"), F.count_if(~fwd & F.col("hq")).alias("n_hq_r"),
-        F.median("aln_score").alias("median_as"),
-        F.avg(F.col("clipped").cast("double")).alias("prop_clipped"),
+    counts = obs.groupBy(
+        *carry, "sample_id", F.col(variant_id).alias("variant_id"), "chrom", "pos", "ref", F.col(allele).alias("alt"),
+        (F.col("strand") == "F").alias("fwd"), hq.alias("hq"), "bp_start", "aln_score", F.col("clipped").cast("double").alias("clipped"),
+    ).agg(F.count(F.lit(1)).alias("c")).repartition(*carry, *LOCUS)
+    x, c, fwd = F.col("bp_start"), F.col("c"), F.col("fwd")
+    centre = F.percentile(F.when(F.col("hq"), x), 0.5, c).over(W.partitionBy(*keys, "fwd"))
+    known = F.col("clipped").isNotNull()
+
+    def side(strand):
+        at = F.col("hq") & strand
+        w = F.when(at, c)
+        n, m = F.sum(w), F.sum(F.when(x.isNotNull(), w))
+        s1, s2 = F.sum(w * x), F.sum(w * x * x)
+        return {
+            "under": F.sum(F.when(at, F.when(x < bp, c).otherwise(0))) / n,
+            "upper": F.sum(F.when(at, F.when(x > read_length - bp, c).otherwise(0))) / n,
+            "sd": F.when(m > 1, F.sqrt(F.try_divide((m * s2 - s1 * s1).cast("double"), (m * (m - 1)).cast("double")))),
+            "mad": F.percentile(F.when(at, F.abs(x - F.col("_m"))), 0.5, c) * MAD_SCALE,
+        }
+
+    sides = {"f": side(fwd), "r": side(~fwd)}
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, c)), F.lit(0))
+    metrics = counts.withColumn("_m", centre).groupBy(*keys).agg(
+        total(fwd).alias("n_all_f"), total(~fwd).alias("n_all_r"),
+        total(fwd & F.col("hq")).alias("n_hq_f"), total(~fwd & F.col("hq")).alias("n_hq_r"),
+        F.percentile("aln_score", 0.5, c).alias("median_as"),
+        (F.sum(F.col("clipped") * c) / F.sum(F.when(known, c))).alias("prop_clipped"),
+        *[sides[strand][name].alias(f"{out}_{strand}")
+          for name, out in (("under", "prop_under"), ("sd", "sd"), ("mad", "mad"), ("upper", "prop_upper")) for strand in ("f", "r")],
     )
-    # histogram over read positions: at most read_length rows per (sample, allele, strand);
-    # dealt by allele once, which serves the window, both aggregates and the join below
-    hist = rows.filter("hq").groupBy(*keys, "strand", "bp_start").agg(F.count(F.lit(1)).alias("c")).repartition(*keys)
-    x, c = F.col("bp_start"), F.col("c")
-    centre = F.percentile(x, 0.5, c).over(W.partitionBy(*keys, "strand"))
-    n, s1, s2 = F.sum(c), F.sum(c * x), F.sum(c * x * x)
-    per_strand = (
-        hist.withColumn("_m", centre).groupBy(*keys, "strand").agg(
-            (F.sum(F.when(x < bp, c).otherwise(0)) / n).alias("under"),
-            (F.sum(F.when(x > read_length - bp, c).otherwise(0)) / n).alias("upper"),
-            F.when(n > 1, F.sqrt(F.try_divide((n * s2 - s1 * s1).cast("double"), (n * (n - 1)).cast("double")))).alias("sd"),
-            (F.percentile(F.abs(x - F.col("_m")), 0.5, c) * MAD_SCALE).alias("mad"),
-        )
-    )
-    side = lambda name, strand: F.max(F.when(F.col("strand") == strand, F.col(name)))
-    positions = per_strand.groupBy(*keys).agg(*[
-        side(name, strand.upper()).alias(f"{out}_{strand}")
-        for name, out in (("under", "prop_under"), ("sd", "sd"), ("mad", "mad"), ("upper", "prop_upper"))
-        for strand in ("f", "r")
-    ])
-    return position_depth(counts.join(positions, keys, "left"))
+    return position_depth(metrics, carry)
 
 
-def position_depth(metrics: DataFrame) -> DataFrame:
+def position_depth(metrics: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """All-read and HQ depth over every allele at the locus (rows are already one per allele)."""
-    locus = W.partitionBy("sample_id", "chrom", "pos")
+    locus = W.partitionBy(*carry, *LOCUS)
     return metrics.withColumns({
         "depth_all": F.sum(F.col("n_all_f") + F.col("n_all_r")).over(locus),
         "depth_hq": F.sum(F.col("n_hq_f") + F.col("n_hq_r")).over(locus),
@@ -181,11 +186,34 @@ def artifact_filters(
     })
 
 
-def variant_pass(filtered: DataFrame) -> DataFrame:
-    """Add the variant-level ``variant_pass``: some cell passes all three artifact filters."""
+def variant_pass(filtered: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Add the variant-level ``variant_pass``: some cell (of the cohort) passes all three artifact filters."""
     all_three = F.col("as_pass") & F.col("clip_pass") & F.col("bppos_pass")
-    verdict = filtered.groupBy("variant_id").agg(F.bool_or(all_three).alias("variant_pass"))
-    return filtered.join(verdict, "variant_id")
+    verdict = filtered.groupBy(*carry, "variant_id").agg(F.bool_or(all_three).alias("variant_pass"))
+    return filtered.join(verdict, [*carry, "variant_id"])
+
+
+def pileup_status(filtered: DataFrame, chosen: DataFrame, priority: DataFrame | None = None) -> DataFrame:
+    """The seven status columns of the pileup table, for rows with ``variant_pass``.
+
+    ``chosen``: variants of the call files that are left; ``priority``: those kept although no cell passes. A chosen variant
+    is in the count matrix when some cell passes all artifact filters, or when it is a priority variant with rows in the pileup.
+    ``depth_filter`` and ``verdict`` tell whether it is; ``present_vcf_not_in_bam`` marks chosen variants left out of the matrix,
+    ``present_bam_not_in_vcf`` passing variants that no call file holds.
+    """
+    ids = chosen.select("variant_id", F.lit(True).alias("_chosen")).distinct()
+    rows = filtered.join(ids, "variant_id", "left").withColumn("_chosen", F.coalesce("_chosen", F.lit(False)))
+    rescued = F.lit(False)
+    if priority is not None:
+        rows = rows.join(priority.select("variant_id", F.lit(True).alias("_priority")).distinct(), "variant_id", "left")
+        rescued = F.coalesce(F.col("_priority"), F.lit(False)) & (F.col("alt") != "REF")
+    kept = F.col("_chosen") & (F.col("variant_pass") | rescued)
+    yes = lambda flag: F.when(flag, "Yes").otherwise("No")
+    out = rows.withColumns({
+        "as_filter": pass_fail("as_pass"), "propclipped_filter": pass_fail("clip_pass"), "bppos_filter": pass_fail("bppos_pass"),
+        "depth_filter": pass_fail(kept), "present_vcf_not_in_bam": yes(F.col("_chosen") & ~kept),
+        "present_bam_not_in_vcf": yes(F.col("variant_pass") & ~F.col("_chosen")), "verdict": pass_fail(kept)})
+    return out.drop("_chosen", "_priority")
 
 
 def pass_fail(flag) -> Column:
