@@ -62,6 +62,16 @@ def gc_correct(d):
     return V.gc_correct(d.bins, gc)
 
 
+@query("gc_correct_linear", """
+SELECT sample_id, chrom, bin_start, round(gc, 6) AS gc, CAST(1.0 AS DOUBLE) AS corrected
+FROM (SELECT *, 0.3 + CAST((bin_start // 1000000 * 7 + raw_count) % 31 AS DOUBLE) / 100 AS gc FROM {bins})""")
+def gc_correct_linear(d):
+    """Bins whose log signal is a straight line in GC: all of it is removed."""
+    gc = d.bins.select("sample_id", "chrom", "bin_start", (0.3 + F.pmod(F.floor(F.col("bin_start") / 1000000) * 7 + F.col("raw_count"), F.lit(31)) / 100).alias("gc"))
+    line = gc.withColumn("normal", F.exp(2 * F.col("gc") - 1))
+    return rounded(V.gc_correct_normal(line), "gc", "corrected").select("sample_id", "chrom", "bin_start", "gc", "corrected")
+
+
 @query("segment_medians", "SELECT sample_id, chrom, bin_start, round(fixed, 6) AS fixed FROM {fixed}")
 def segment_medians(d):
     return rounded(V.segment_medians(nbins(d)).select("sample_id", "chrom", "bin_start", "fixed"), "fixed")

@@ -112,6 +112,19 @@ def assign_intervals(d):
     return J.assign_intervals(d.calls, targets(d), width=50).select("sample_id", "variant_id", "target")
 
 
+_SPANS = """SELECT p_partkey AS span_id, CASE WHEN (p_partkey % 400) % 23 = 22 THEN 'chrX' ELSE concat('chr', CAST((p_partkey % 400) % 23 + 1 AS STRING)) END AS chrom,
+  CAST((p_partkey * 7919) % 20000 AS BIGINT) AS start, CAST((p_partkey * 7919) % 20000 + CASE p_partkey % 9 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 30 WHEN 3 THEN 500 WHEN 4 THEN 4000
+  WHEN 5 THEN 60000 WHEN 6 THEN 1000000 WHEN 7 THEN 10000000 ELSE 100000000 END AS BIGINT) AS stop FROM {part}"""
+VIEWS["spans"] = _SPANS
+
+
+@query("assign_intervals_any_length", """
+SELECT v.variant_id, s.span_id FROM {sites} v JOIN {spans} s ON s.chrom = v.chrom AND v.pos BETWEEN s.start AND s.stop""")
+def assign_intervals_any_length(d):
+    """Intervals of one base to a hundred million, none listed more than twice."""
+    return J.assign_intervals(d.sites, d.spans.withColumnRenamed("stop", "end"), width=64).select("variant_id", "span_id")
+
+
 @query("check_aligned", """
 SELECT variant_id, sample_id, CASE WHEN dp % 5 = 0 THEN 'nv' ELSE 'nr' END AS missing_in FROM {calls} WHERE (dp % 5 = 0) <> (dp % 3 = 0)""")
 def check_aligned(d):

@@ -146,6 +146,35 @@ def mitochondrial_share(d):
     return rounded(C.mitochondrial_share(C.chrom_coverage(d.depth)), "pct_chrm")
 
 
+VIEWS["alignments"] = """
+SELECT read_id, sample_id, chrom, pos + read_id % 40 AS pos, mq, CASE read_id % 5 WHEN 0 THEN '10S30M' WHEN 1 THEN '12M5D8M' WHEN 2 THEN '5M3I10M' WHEN 3 THEN '4M100N6M2H' ELSE '25M' END AS cigar FROM {obs}"""
+VIEWS["blocks"] = """
+SELECT sample_id, chrom, pos AS start, pos + CASE read_id % 5 WHEN 0 THEN 29 WHEN 1 THEN 11 WHEN 2 THEN 4 WHEN 3 THEN 3 ELSE 24 END AS stop FROM {alignments} WHERE mq >= 20
+UNION ALL SELECT sample_id, chrom, pos + CASE read_id % 5 WHEN 1 THEN 17 WHEN 2 THEN 5 ELSE 104 END, pos + CASE read_id % 5 WHEN 1 THEN 24 WHEN 2 THEN 14 ELSE 109 END
+FROM {alignments} WHERE mq >= 20 AND read_id % 5 IN (1, 2, 3)"""
+VIEWS["base_depth"] = "SELECT sample_id, chrom, p AS pos, count(*) AS depth FROM (SELECT sample_id, chrom, unnest(range(start, stop + 1)) AS p FROM {blocks}) GROUP BY 1, 2, 3"
+
+
+def runs(d: Data):
+    return C.depth_runs(C.aligned_blocks(d.alignments.filter("mq >= 20")), span=512)
+
+
+@query("depth_runs", """
+SELECT sample_id, chrom, depth, count(*) AS n_positions, CAST(sum(pos) AS BIGINT) AS sum_of_positions FROM {base_depth} GROUP BY 1, 2, 3""")
+def depth_runs(d):
+    n = F.col("end") - F.col("start") + 1
+    return runs(d).groupBy("sample_id", "chrom", "depth").agg(F.sum(n).alias("n_positions"), F.sum(n * (F.col("start") + F.col("end")) / 2).cast("bigint").alias("sum_of_positions"))
+
+
+@query("coverage_profile_from_reads", """
+WITH x AS (SELECT sample_id, least(depth, 250) AS v FROM {base_depth} UNION ALL
+  SELECT sample_id, unnest(list_transform(range(0, 40000 - n), lambda i: 0)) FROM (SELECT sample_id, count(*) AS n FROM {base_depth} GROUP BY 1))
+SELECT sample_id, round(avg(v), 6) AS mean_coverage, round(stddev_samp(v), 6) AS sd_coverage, median(v) AS median_coverage, mad(v) AS mad_coverage,
+  round(avg(CASE WHEN v >= 1 THEN 1.0 ELSE 0 END), 6) AS pct_1x, round(avg(CASE WHEN v >= 5 THEN 1.0 ELSE 0 END), 6) AS pct_5x FROM x GROUP BY 1""")
+def coverage_profile_from_reads(d):
+    return rounded(C.coverage_profile(runs(d), 40000, levels=(1, 5)), "mean_coverage", "sd_coverage", "pct_1x", "pct_5x")
+
+
 @query("coverage_profile", """
 WITH x AS (SELECT sample_id, least(depth, 250) AS v FROM {depth} UNION ALL
   SELECT sample_id, unnest(list_transform(range(0, 1000 - n), lambda i: 0)) FROM (SELECT sample_id, count(*) AS n FROM {depth} GROUP BY 1))

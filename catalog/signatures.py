@@ -134,6 +134,24 @@ def signature_refit(d):
     return rounded(S.signature_refit(act(d).select("sample_id", F.col("signature").alias("feature"), F.col("activity").alias("n")), catalog), "activity", "cosine")
 
 
+_PROJECT = "CASE WHEN sample_id < 'cell_09' THEN 'P1' ELSE 'P2' END"
+
+
+@query("signature_refit_projects", f"""
+WITH a AS (SELECT {_PROJECT} AS project, sample_id, signature AS feature, activity FROM {{act}}),
+w AS (SELECT project, feature, CASE WHEN feature < CASE project WHEN 'P1' THEN 'SBS3' ELSE 'SBS7' END THEN 'low' ELSE 'high' END AS signature, CAST(length(feature) AS DOUBLE) AS weight
+      FROM (SELECT DISTINCT p.project, f.feature FROM (SELECT DISTINCT project FROM a) p CROSS JOIN (SELECT DISTINCT feature FROM a) f))
+SELECT s.project, s.sample_id, w.signature, round(sum(coalesce(a.activity, 0) * w.weight) / sum(w.weight * w.weight), 6) AS activity
+FROM (SELECT DISTINCT project, sample_id FROM a) s JOIN w ON w.project = s.project LEFT JOIN a ON a.sample_id = s.sample_id AND a.feature = w.feature GROUP BY 1, 2, 3""")
+def signature_refit_projects(d):
+    """Two projects, each with a catalog of its own."""
+    counts = act(d).select(F.expr(_PROJECT).alias("project"), "sample_id", F.col("signature").alias("feature"), F.col("activity").alias("n"))
+    features = counts.select("feature").distinct().withColumn("project", F.explode(F.array(F.lit("P1"), F.lit("P2"))))
+    cut = F.when(F.col("project") == "P1", "SBS3").otherwise("SBS7")
+    catalog = features.select("project", "feature", F.when(F.col("feature") < cut, "low").otherwise("high").alias("signature"), F.length("feature").cast("double").alias("weight"))
+    return rounded(S.signature_refit(counts, catalog, max_loss=-1.0, project="project").select("project", "sample_id", "signature", "activity"), "activity")
+
+
 @query("signature_refit_disjoint", """
 WITH w AS (SELECT signature AS feature, CASE WHEN signature < 'SBS3' THEN 'low' ELSE 'high' END AS signature, CAST(length(signature) AS DOUBLE) AS weight FROM (SELECT DISTINCT signature FROM {act}))
 SELECT s.sample_id, w.signature, round(sum(coalesce(a.activity, 0) * w.weight) / sum(w.weight * w.weight), 6) AS activity

@@ -54,8 +54,8 @@ def _lowess(x: np.ndarray, y: np.ndarray, share: float, rounds: int = 3) -> np.n
     xs, ys = x[order], y[order]
     n = len(xs)
     k = max(2, min(n, int(share * n + 1e-7)))
-    start = np.clip(np.arange(n) - k // 2, 0, n - k)
-    for _ in range(k):  # slide each window towards its nearest neighbours
+    start = np.clip(np.arange(n) - k + 1, 0, n - k)
+    for _ in range(k):  # slide each window, from the leftmost that holds its point, towards its nearest neighbours
         right = np.minimum(start + k, n - 1)
         move = (start + k < n) & (xs - xs[start] > xs[right] - xs)
         if not move.any():
@@ -76,7 +76,7 @@ def _lowess(x: np.ndarray, y: np.ndarray, share: float, rounds: int = 3) -> np.n
         slope = np.where(var > 1e-12, (w * dx * ys[idx]).sum(1) / np.maximum(var, 1e-12), 0.0)
         fit = ym + slope * (xs - xm)
         spread = 6 * np.median(np.abs(ys - fit))
-        if spread <= 0:
+        if spread <= 1e-10 * max(1.0, np.abs(ys).max()):  # nothing but rounding is left
             break
         robust = np.clip(1 - ((ys - fit) / spread) ** 2, 0, None) ** 2
     out = np.empty(n)
@@ -86,7 +86,12 @@ def _lowess(x: np.ndarray, y: np.ndarray, share: float, rounds: int = 3) -> np.n
 
 def gc_correct(bins: DataFrame, gc: DataFrame, share: float = 0.05, value: str = "raw_count") -> DataFrame:
     """Bin signal with its smooth dependence on GC removed, one sample's bins at a time."""
-    joined = normalize_bins(bins, value).join(gc, ["chrom", "bin_start"]).select("sample_id", "chrom", "bin_start", "gc", "normal")
+    return gc_correct_normal(normalize_bins(bins, value).join(gc, ["chrom", "bin_start"]), share)
+
+
+def gc_correct_normal(bins: DataFrame, share: float = 0.05) -> DataFrame:
+    """The same for bins that have ``normal`` and ``gc`` already."""
+    joined = bins.select("sample_id", "chrom", "bin_start", "gc", "normal")
 
     def correct(pdf: pd.DataFrame) -> pd.DataFrame:
         log_y = np.log(pdf["normal"].to_numpy())

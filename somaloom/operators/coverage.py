@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from somaloom.functions.ranks import exact_quantiles
@@ -98,9 +99,45 @@ def mitochondrial_share(by_chrom: DataFrame, names: Sequence[str] = ("chrM", "MT
     return by_chrom.groupBy("sample_id").agg(total.alias("cov_total_bases"), mito.alias("cov_chrm_bases"), _ratio(mito, total).alias("pct_chrm"))
 
 
+def aligned_blocks(reads: DataFrame, pos: str = "pos", cigar: str = "cigar") -> DataFrame:
+    """One row per stretch of aligned bases (``start``, ``end``, closed) of each read: M, = and X of its CIGAR; D and N move on without bases."""
+    ops = F.regexp_extract_all(cigar, F.lit("([0-9]+)([MIDNSHP=X])"), F.lit(2))
+    sizes = F.transform(F.regexp_extract_all(cigar, F.lit("([0-9]+)([MIDNSHP=X])"), F.lit(1)), lambda n: n.cast("bigint"))
+    steps = F.zip_with(ops, sizes, lambda o, n: F.struct(o.alias("o"), n.alias("n")))
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+
+    def step(acc, x):
+        at, moves, bases = acc["at"], x["o"].isin("M", "=", "X", "D", "N"), x["o"].isin("M", "=", "X")
+        block = F.struct(at.alias("start"), (at + x["n"] - 1).alias("end"))
+        return F.struct((at + F.when(moves, x["n"]).otherwise(0)).alias("at"), F.when(bases & (x["n"] > 0), F.concat(acc["found"], F.array(block))).otherwise(acc["found"]).alias("found"))
+
+    found = F.aggregate(steps, F.struct(F.col(pos).cast("bigint").alias("at"), none.alias("found")), step)["found"]
+    return reads.withColumn("_b", F.explode(found)).withColumns({"start": F.col("_b.start"), "end": F.col("_b.end")}).drop("_b")
+
+
+def depth_runs(blocks: DataFrame, by: Sequence[str] = ("sample_id", "chrom"), span: int = 1 << 20) -> DataFrame:
+    """Runs of equal positive depth (``start``, ``end``, ``depth``) from aligned blocks, by a sweep over their ends.
+
+    A block is +1 at its start and -1 behind its end; equal places are summed before they move. Stretches of ``span`` bases are summed
+    each in its own task and carry in the sum of all stretches before, so that no chromosome is one task. Rows follow the blocks, never the bases.
+    """
+    by = list(by)
+    events = blocks.select(*by, F.explode(F.array(
+        F.struct(F.col("start").cast("bigint").alias("pos"), F.lit(1).alias("step")), F.struct((F.col("end").cast("bigint") + 1).alias("pos"), F.lit(-1).alias("step")))).alias("_e"))
+    steps = events.groupBy(*by, F.col("_e.pos").alias("pos")).agg(F.sum("_e.step").alias("step")).filter("step <> 0").withColumn("_part", F.floor(F.col("pos") / span))
+    parts = steps.groupBy(*by, "_part").agg(F.sum("step").alias("_sum"), F.min("pos").alias("_first"))
+    order = W.partitionBy(*by).orderBy("_part")  # a row a stretch
+    carried = parts.select(*by, "_part", F.coalesce(F.sum("_sum").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.lead("_first").over(order).alias("_next"))
+    inside = W.partitionBy(*by, "_part").orderBy("pos")
+    swept = steps.withColumns({"_inside": F.sum("step").over(inside), "_to": F.lead("pos").over(inside)}).join(carried, [*by, "_part"])
+    runs = swept.select(*by, F.col("pos").alias("start"), (F.coalesce("_to", "_next") - 1).alias("end"), (F.col("_before") + F.col("_inside")).alias("depth"))
+    return runs.filter("depth > 0")
+
+
 def _depth_histogram(depth: DataFrame, territory: int, cap: int) -> DataFrame:
-    """Positions per (sample, capped depth), with the uncovered rest of the territory as depth 0."""
-    hist = depth.groupBy("sample_id", F.least("depth", F.lit(cap)).alias("d")).agg(F.count(F.lit(1)).alias("c"))
+    """Positions per (sample, capped depth), with the uncovered rest of the territory as depth 0. Rows are positions, or runs with ``start`` and ``end``."""
+    size = F.col("end") - F.col("start") + 1 if {"start", "end"} <= set(depth.columns) else F.lit(1)
+    hist = depth.groupBy("sample_id", F.least("depth", F.lit(cap)).alias("d")).agg(F.sum(size).alias("c"))
     zero = hist.filter("d > 0").groupBy("sample_id").agg((F.lit(territory) - F.sum("c")).alias("c")).select("sample_id", F.lit(0).cast("bigint").alias("d"), "c")
     return hist.filter("d > 0").unionByName(zero)
 

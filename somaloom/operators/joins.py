@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from somaloom.operators.pileup import complete_grid
@@ -93,20 +93,34 @@ def annotate_variants(calls: DataFrame, table: DataFrame, keys: Sequence[str] =
     return calls.join(table, list(keys), "left")
 
 
-def assign_intervals(points: DataFrame, intervals: DataFrame, width: int = 1_000_000,
+def _enclosing(start: Column, end: Column, finest: int) -> Column:
+    """Shift of the smallest bin of the tree that holds start and end: ``finest``, then three bits more a level."""
+    apart = F.length(F.bin(start.bitwiseXOR(end)))
+    return F.greatest(F.lit(finest), F.lit(finest) + 3 * F.ceil((apart - finest) / 3)).cast("int")
+
+
+def assign_intervals(points: DataFrame, intervals: DataFrame, width: int = 1 << 14,
                      chrom: str = "chrom", pos: str = "pos", start: str = "start", end: str = "end") -> DataFrame:
-    """Points inside closed intervals.
+    """Points inside closed intervals of any lengths.
 
-    Intervals are listed under every ``width``-base bucket they touch and points under
-    their own, so the range condition rides on an equi join and no pair is tried twice.
-    Choose ``width`` near the usual interval length.
+    Bins are a fixed tree: the finest hold about ``width`` bases, each level above eight of them. An interval is cut where it
+    crosses the coarsest bin edge inside it and each half filed in the smallest bin that holds it, so it is listed at most twice,
+    however long. A point is looked up in its one bin of each level that any interval uses. Both meet in an equi join; halves
+    are disjoint, so no pair is met twice.
     """
-    listed = intervals.withColumn(
-        "_b", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width)))
-    )
-    located = points.withColumn("_b", F.floor(F.col(pos) / width))
-    hit = (F.col(pos) >= F.col(start)) & (F.col(pos) <= F.col(end))
-    return located.join(listed, [chrom, "_b"]).filter(hit).drop("_b")
+    finest = max(1, int(width).bit_length() - 1)
+    s, e = F.col(start).cast("bigint"), F.col(end).cast("bigint")
+    apart = F.length(F.bin(s.bitwiseXOR(e)))  # bits below the common prefix
+    edge = F.call_function("shiftleft", F.call_function("shiftright", e, apart - 1), apart - 1)
+    whole = (s == e) | (apart <= finest)
+    halves = F.when(whole, F.array(F.struct(s.alias("a"), e.alias("b")))).otherwise(
+        F.array(F.struct(s.alias("a"), (edge - 1).alias("b")), F.struct(edge.alias("a"), e.alias("b"))))
+    listed = intervals.filter(s <= e).withColumn("_h", F.explode(halves)).withColumn("_shift", _enclosing(F.col("_h.a"), F.col("_h.b"), finest))
+    listed = listed.withColumn("_b", F.call_function("shiftright", F.col("_h.a"), F.col("_shift")))
+    used = F.coalesce(listed.agg(F.sort_array(F.collect_set("_shift"))).scalar(), F.array().cast("array<int>"))
+    located = points.withColumn("_shift", F.explode(used)).withColumn("_b", F.call_function("shiftright", F.col(pos).cast("bigint"), F.col("_shift")))
+    hit = (F.col(pos) >= F.col("_h.a")) & (F.col(pos) <= F.col("_h.b"))
+    return located.join(listed, [chrom, "_shift", "_b"]).filter(hit).drop("_b", "_shift", "_h")
 
 
 def check_aligned(nr: DataFrame, nv: DataFrame, keys: Sequence[str] = ("variant_id", "sample_id")) -> DataFrame:

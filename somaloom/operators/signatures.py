@@ -14,7 +14,6 @@ from somaloom.functions.ranks import average_rank
 from somaloom.functions.variants import is_snv_strict, mutation_end, mutation_type
 
 SUBSTITUTIONS = ("C>A", "C>G", "C>T", "T>A", "T>C", "T>G")
-MAX_CATALOG_ROWS = 200_000
 
 
 def variant_table(called: DataFrame, project: str, genome: str) -> DataFrame:
@@ -197,38 +196,108 @@ def _cosine(a: np.ndarray, b: np.ndarray) -> float:
     return float(a @ b / d) if d > 0 else 0.0
 
 
-def signature_refit(counts: DataFrame, catalog: DataFrame, max_loss: float = 0.004) -> DataFrame:
-    """Non-negative fit of each sample's class counts to a signature catalog.
+class _Refit:
+    """Backward elimination of one sample on one catalog, by Gram matrix.
 
-    Signatures are dropped one at a time, always the one whose loss costs least, while the
-    reconstruction cosine falls by at most ``max_loss``. ``counts``: ``sample_id,
-    feature, n`` (at most the number of mutation classes per sample); ``catalog``: ``feature,
-    signature, weight``, a fixed table whose size is checked before it is shipped to tasks.
+    Dropping signature k from a fit on the set P moves the others by -x_k / H_kk times column k of H, the inverse of the Gram matrix of P:
+    one factorisation serves every trial of a round. A trial is the non-negative fit if it stays positive and no signature outside P
+    would gain; only otherwise it is fitted anew.
     """
-    rows = catalog.limit(MAX_CATALOG_ROWS + 1).toPandas()
-    if len(rows) > MAX_CATALOG_ROWS:
-        raise ValueError(f"signature catalog has more than {MAX_CATALOG_ROWS} entries")
-    wide = rows.pivot_table(index="feature", columns="signature", values="weight", fill_value=0.0).sort_index()
-    features, names, weights = list(wide.index), list(wide.columns), wide.to_numpy(dtype=float)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        y = pdf.set_index("feature")["n"].reindex(features, fill_value=0).to_numpy(dtype=float)
-        keep = list(range(len(names)))
-        x = _nnls(weights, y)
-        best = _cosine(weights @ x, y)
+
+    def __init__(self, weights: np.ndarray, y: np.ndarray):
+        self.weights, self.gram, self.target, self.norm = weights, weights.T @ weights, weights.T @ y, float(y @ y)
+        self.y = y
+
+    def cosine(self, x: np.ndarray) -> float:
+        size = float(x @ self.gram @ x) * self.norm
+        return float(x @ self.target) / np.sqrt(size) if size > 0 else 0.0
+
+    def fit(self, keep: list[int]) -> np.ndarray:
+        x = np.zeros(len(self.target))
+        x[keep] = _nnls(self.weights[:, keep], self.y)
+        return x
+
+    def without(self, x: np.ndarray, keep: list[int]) -> list[tuple[float, int, np.ndarray]]:
+        """(cosine, signature, fit) of each signature left out in turn."""
+        on = np.flatnonzero(x > 0)
+        try:
+            inverse = np.linalg.inv(np.linalg.cholesky(self.gram[np.ix_(on, on)])) if len(on) else np.zeros((0, 0))
+            inverse = inverse.T @ inverse
+        except np.linalg.LinAlgError:
+            inverse = None
+        place = {k: i for i, k in enumerate(on.tolist())}
+        out = []
+        tolerance = 1e-10 * max(1.0, np.abs(self.target).max(initial=0.0))
+        for drop in keep:
+            rest = [k for k in keep if k != drop]
+            if drop not in place:
+                out.append((self.cosine(x), drop, x))
+                continue
+            trial = None
+            if inverse is not None and np.linalg.cond(inverse) < 1e10:
+                i = place[drop]
+                moved = x.copy()
+                moved[on] -= x[drop] / inverse[i, i] * inverse[:, i]
+                moved[drop] = 0.0
+                others = [k for k in rest if k not in place]
+                if (moved[on] >= 0).all() and (not others or (self.target[others] - self.gram[others] @ moved).max() <= tolerance):
+                    trial = moved
+            trial = self.fit(rest) if trial is None else trial
+            out.append((self.cosine(trial), drop, trial))
+        return out
+
+    def eliminate(self, max_loss: float) -> tuple[np.ndarray, float]:
+        keep = list(range(len(self.target)))
+        x = self.fit(keep)
+        best = self.cosine(x)
         while len(keep) > 1:
-            trials = []
-            for drop in keep:
-                rest = [k for k in keep if k != drop]
-                xr = _nnls(weights[:, rest], y)
-                trials.append((_cosine(weights[:, rest] @ xr, y), drop))
-            score, drop = max(trials)
+            score, drop, fitted = max(self.without(x, keep), key=lambda t: (round(t[0], 12), t[1]))
             if best - score > max_loss:
                 break
             keep.remove(drop)
-            best = score
-        x = np.zeros(len(names))
-        x[keep] = _nnls(weights[:, keep], y)
-        return pd.DataFrame({"sample_id": pdf["sample_id"].iloc[0], "signature": names, "activity": x, "cosine": _cosine(weights @ x, y)})
+            x, best = fitted, score
+        return x, best
+
+
+GROUP_SAMPLES = 256
+
 
-    return counts.groupBy("sample_id").applyInPandas(fit, "sample_id string, signature string, activity double, cosine double")
+def signature_refit(counts: DataFrame, catalog: DataFrame, max_loss: float = 0.004, project: str | None = None) -> DataFrame:
+    """Non-negative fit of each sample's class counts to a signature catalog.
+
+    Signatures are dropped one at a time, always the one whose loss costs least (of equal ones the last by name), while the
+    reconstruction cosine falls by at most ``max_loss``. ``counts``: ``sample_id, feature, n`` (at most the number of mutation classes per
+    sample); ``catalog``: ``feature, signature, weight``. With ``project``, a column of both, every project has its own catalog.
+
+    Samples of a project go in groups of about ``GROUP_SAMPLES``, and each group meets the catalog of its project once, in a
+    cogroup; nothing passes through the driver and no catalog is too large to be looked at. Samples without a catalog have no row.
+    """
+    keys = [project] if project else []
+    own = counts.select(*keys, "sample_id", "feature", F.col("n").cast("double").alias("n"))
+    sizes = own.groupBy(*keys).agg(F.ceil(F.approx_count_distinct("sample_id") / GROUP_SAMPLES).cast("int").alias("_groups"))
+    packed = own.groupBy(*keys, "sample_id").agg(F.collect_list("feature").alias("f"), F.collect_list("n").alias("n"))
+    join = lambda df: df.join(sizes, keys) if keys else df.crossJoin(sizes)  # one row a project
+    dealt = join(packed).withColumn("_group", F.pmod(F.xxhash64("sample_id"), F.col("_groups")).cast("int"))
+    given = catalog.select(*keys, "feature", "signature", F.col("weight").cast("double").alias("weight"))
+    given = join(given).withColumn("_group", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)))
+
+    def fit(samples: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        if not len(samples) or not len(rows):
+            return pd.DataFrame({**{c: pd.Series(dtype=object) for c in (*keys, "sample_id", "signature")}, "activity": pd.Series(dtype=float), "cosine": pd.Series(dtype=float)})
+        wide = rows.pivot_table(index="feature", columns="signature", values="weight", fill_value=0.0).sort_index()
+        place, names, weights = {f: k for k, f in enumerate(wide.index)}, list(wide.columns), wide.to_numpy(dtype=float)
+        ids, activities, cosines = [], [], []
+        for record in samples.itertuples(index=False):
+            y = np.zeros(len(place))
+            for f, n in zip(record.f, record.n):
+                if f in place and n == n:
+                    y[place[f]] += n
+            x, cosine = _Refit(weights, y).eliminate(max_loss)
+            ids += [record.sample_id] * len(names)
+            activities.append(x)
+            cosines += [cosine] * len(names)
+        return pd.DataFrame({**{k: samples[k].iloc[0] for k in keys}, "sample_id": ids, "signature": names * len(samples), "activity": np.concatenate(activities), "cosine": cosines})
+
+    schema = ", ".join([*(f"`{k}` {counts.schema[k].dataType.simpleString()}" for k in keys), "sample_id string, signature string, activity double, cosine double"])
+    kept = [*keys, "_group"]
+    return dealt.select(*kept, "sample_id", "f", "n").groupBy(*kept).cogroup(given.select(*kept, "feature", "signature", "weight").groupBy(*kept)).applyInPandas(fit, schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTITION_KEYS = ("workspace", "workflow_id", "biosample")
@@ -32,6 +32,35 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = PARTITION_
     dealt.write.mode(mode).partitionBy(*keys).parquet(path)
 
 
+def write_run(df: DataFrame, path: str, runs: str, run_id: str, keys: Sequence[str] = PARTITION_KEYS) -> None:
+    """Write the partitions of one run; a repeat of the run leaves the same rows.
+
+    Only partitions that ``df`` holds are replaced, as a whole. When they are there, the run's row list - one row per partition with its number
+    of rows - replaces the run's former list in the table of runs. Readers that go by that table (:func:`read_runs`) see a run when it is
+    complete; partitions that a repeat no longer holds are left out by them.
+    """
+    keys = list(keys)
+    spark = df.sparkSession
+    df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    text = [F.col(k).cast("string").alias(k) for k in keys]
+    written = df.groupBy(*text).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("run_id", F.lit(run_id))
+    none = spark.createDataFrame([(None,) * len(keys) + (None, run_id)], ", ".join([*(f"`{k}` string" for k in keys), "n_rows bigint", "run_id string"]))  # a run without rows is a run
+    written.unionByName(none).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(runs)
+
+
+def read_runs(spark: SparkSession, path: str, runs: str, keys: Sequence[str] = PARTITION_KEYS) -> DataFrame:
+    """Rows of the partitions that some committed run lists."""
+    keys = list(keys)
+    listed = spark.read.parquet(runs).filter("n_rows IS NOT NULL").select(*keys).distinct()
+    data = spark.read.option("recursiveFileLookup", "false").parquet(path)
+    own = [F.col(k).cast("string").alias(f"_{k}") for k in keys]
+    same = [F.col(f"_{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    return data.select("*", *own).join(listed.alias("l"), cond, "left_semi").drop(*[f"_{k}" for k in keys])
+
+
 def bins_long(segcopy: DataFrame, raw: DataFrame, **metadata) -> DataFrame:
     """Wide copy numbers and raw counts to long rows per (sample, bin), with constant metadata columns."""
     keys = ["chr", "start", "end"]
