@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from somaloom.session import checkpoint_root, cut_lineage
 
-__all__ = ["checkpoint_root", "cut_lineage", "fresh_folder", "open_store", "pick", "slices", "table", "unused"]
+__all__ = ["checkpoint_root", "cut_lineage", "fresh_folder", "open_store", "pick", "slices", "table", "tidy", "unused"]
 
 SLICE_BYTES = 2 << 20
 
@@ -60,6 +61,27 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(start)
 
 
+def _give_back() -> None:
+    """Hand freed memory back to the system; a worker process goes on to other tasks and keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library keeps no such pools
+        pass
+
+
+def tidy(work: Callable) -> Callable:
+    """``work`` over Arrow batches, with memory handed back after each task."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            _give_back()
+
+    return run
+
+
 def open_store(path: str):
     """The Arrow file system of a path in the shared folder, and the path inside it."""
     from pyarrow import fs

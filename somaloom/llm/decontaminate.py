@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, slices
+from .common import pick, slices, tidy
 from .words import ALNUM, SHINGLE, shingles, split
 
 CELL = 64
@@ -209,7 +209,7 @@ def build_indexes(items: DataFrame, threshold: float = THRESHOLD, overlap: float
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([own[:, 1].view(np.int64), [0]])), pa.array([1] * len(own) + [0]),
                                               pa.array([0] * len(own) + [len(np.unique(part))]), pa.array([0] * len(own) + [len(first)])], names=["term", "df", "parts", "words"])
 
-    counted = items.select("text").mapInArrow(terms, "term long, df long, parts long, words long")
+    counted = items.select("text").mapInArrow(tidy(terms), "term long, df long, parts long, words long")
     totals = counted.agg(F.sum("parts"), F.sum("words"), F.sum("df")).first()
     if not totals[1]:
         return []

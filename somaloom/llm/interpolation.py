@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, pick, slices
+from .common import cut_lineage, pick, slices, tidy
 from .words import _PLACE, LOWER, NON_SPACE, mix, raw_bytes, split
 
 ORDER = 2
@@ -168,7 +168,7 @@ def _chunks(docs: DataFrame, order: int, n_buckets: int, chunk_bytes: int) -> Da
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
                                               pa.array([name] * len(rows), pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.binary()))], names=["kind", "bucket", "chunk", "parts"])
 
-    return docs.mapInArrow(run, "kind int, bucket long, chunk long, parts array<binary>")
+    return docs.mapInArrow(tidy(run), "kind int, bucket long, chunk long, parts array<binary>")
 
 
 def _answer(group: pa.Table) -> pa.Table:
@@ -268,7 +268,7 @@ def histogram(table: DataFrame, totals: Totals, order: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.bincount(number, minlength=len(cells)).astype(np.int64)),
                                                   *(pa.array(np.bincount(number, r, len(cells))) for r in ratios)], names=["cell", "n", *sums])
 
-    rows = table.select("documents", "counts").mapInArrow(run, "cell long, n long, " + ", ".join(f"{s} double" for s in sums))
+    rows = table.select("documents", "counts").mapInArrow(tidy(run), "cell long, n long, " + ", ".join(f"{s} double" for s in sums))
     return rows.groupBy("cell").agg(F.sum("n").alias("n"), *[F.sum(s).alias(s) for s in sums])
 
 
@@ -328,4 +328,4 @@ def score_documents(docs: DataFrame, order: int = ORDER, chunk_bytes: int = CHUN
                     pa.array(np.full(len(starts), totals.tokens, np.int64)), pa.array(added(np.log10((found.counts + SMOOTH) / floor))), pa.array(added(np.log10(mixed)))],
                     names=[c.split()[0] for c in RESULT.split(", ")])
 
-    return table.select("documents", "counts").mapInArrow(run, RESULT)
+    return table.select("documents", "counts").mapInArrow(tidy(run), RESULT)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, slices
+from .common import pick, slices, tidy
 from .words import span_hash
 
 SIZE = 64
@@ -164,7 +164,7 @@ def fingerprint_pairs(docs: DataFrame, size: int = SIZE, bucket_bytes: int = BUC
                 waiting, done = (None, bucket) if tail else ((bucket, doc_id, text), done)
             yield _compared(pairs, size)
 
-    return rows.mapInArrow(compare, RESULT)
+    return rows.mapInArrow(tidy(compare), RESULT)
 
 
 def _compared(pairs: list[tuple[int | None, str, str]], size: int) -> pa.RecordBatch:

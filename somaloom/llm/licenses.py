@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, slices
+from .common import pick, slices, tidy
 from .words import ALNUM, span_hash, split
 
 BASE_PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -304,11 +304,26 @@ class Detection:
 
 
 def resolve(found: list[Detection]) -> list[Detection]:
-    """Detections that lie inside no accepted one, in order of place."""
+    """Detections that lie inside no accepted one, in order of place.
+
+    The largest accepted end over all starts up to a place is kept in a Fenwick tree over the distinct starts, so that n detections
+    take n log n steps.
+    """
+    starts = sorted({d.start for d in found})
+    number = {s: k for k, s in enumerate(starts, 1)}
+    reach = [-1] * (len(starts) + 1)
     taken: list[Detection] = []
     for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.start, d.rule)):
-        if not any(t.start <= d.start and d.end <= t.end for t in taken):
+        k, furthest = number[d.start], -1
+        while k:
+            furthest = max(furthest, reach[k])
+            k &= k - 1
+        if furthest < d.end:
             taken.append(d)
+            k = number[d.start]
+            while k < len(reach):
+                reach[k] = max(reach[k], d.end)
+                k += k & -k
     return sorted(taken, key=lambda d: (d.start, d.end))
 
 
@@ -377,7 +392,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
                 pa.array([max([d.score for d in f] + [BASE_SCORE] * bool(b), default=0.0) for b, f in zip(base, found)], pa.float64()),
                 pa.array([[vars(d) for d in f] for f in found], kind)], names=names)
 
-    return pick(docs, doc_id="long", text="string").mapInArrow(run, RESULT)
+    return pick(docs, doc_id="long", text="string").mapInArrow(tidy(run), RESULT)
 
 
 def license_rows(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, pick, slices, unused
+from .common import cut_lineage, pick, slices, tidy, unused
 from .similar import BANDS, ROWS, THRESHOLD, band_hashes, link_items
 from .words import _BASE, mix, shingles, split, tally, whole_hash
 
@@ -72,7 +72,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
             cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own)), pa.array([values[cuts[k] : cuts[k + 1]].tobytes() for k in own], pa.binary())], names=["key", "shingles"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, shingles binary")
+    return docs.select("key", "text").mapInArrow(tidy(run), "key long, shingles binary")
 
 
 def _word_key(text: Column) -> Column:
@@ -107,7 +107,7 @@ def _classes(docs: DataFrame, threshold: float) -> DataFrame:
             found = sketch(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), *found.columns], names=["doc_id", *found.schema.names])
 
-    rows = cut_lineage(docs.mapInArrow(run, "doc_id long, key long, n int, bands array<long>"))
+    rows = cut_lineage(docs.mapInArrow(tidy(run), "doc_id long, key long, n int, bands array<long>"))
     worded = rows.filter("n > 0")
     heads = worded.groupBy("key").agg(F.min("doc_id").alias("head"))
     top = F.min(F.when(F.col("head").isNotNull(), F.struct("head", "key")))

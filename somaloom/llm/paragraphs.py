@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, pick, slices
+from .common import cut_lineage, pick, slices, tidy
 from .similar import BANDS, ROWS, THRESHOLD, band_hashes, link_items
 from .words import _BASE, Words, mix, shingles, split, tally, whole_hash
 
@@ -90,7 +90,7 @@ def paragraphs(docs: DataFrame, min_words: int) -> DataFrame:
             cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.ListArray.from_arrays(pa.array(cuts), held)], names=["doc_id", "t", "paragraphs"])
 
-    found = _named(docs).mapInArrow(run, f"doc_id long, t long, paragraphs {PARAGRAPHS}")
+    found = _named(docs).mapInArrow(tidy(run), f"doc_id long, t long, paragraphs {PARAGRAPHS}")
     return cut_lineage(found.withColumn("uid", F.monotonically_increasing_id()))
 
 
@@ -106,7 +106,7 @@ def paragraph_sets(docs: DataFrame, keys: DataFrame, min_words: int) -> DataFram
             yield pa.RecordBatch.from_arrays([pa.array(whole_hash(group, hashes, len(lines)).view(np.int64)),
                                               pa.array([values[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["key", "shingles"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, shingles binary").join(keys, "key", "left_semi").dropDuplicates(["key"])
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "key long, shingles binary").join(keys, "key", "left_semi").dropDuplicates(["key"])
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -159,7 +159,7 @@ def _text_anchors(docs: DataFrame, size: int) -> DataFrame:
             held = pa.StructArray.from_arrays([pa.array((at - words.firsts[words.doc[at]]).astype(np.int32)), pa.array(hashes.view(np.int64))], names=["place", "anchor"])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.ListArray.from_arrays(pa.array(cuts), held)], names=["doc_id", "t", "anchors"])
 
-    found = _named(docs).mapInArrow(run, "doc_id long, t long, anchors array<struct<place:int,anchor:long>>").filter("size(anchors) > 0")
+    found = _named(docs).mapInArrow(tidy(run), "doc_id long, t long, anchors array<struct<place:int,anchor:long>>").filter("size(anchors) > 0")
     return cut_lineage(found.groupBy("t").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("anchors").alias("anchors")))
 
 
@@ -191,7 +191,7 @@ def _windows_around(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.ListArray.from_arrays(pa.array(cuts), held)], names=["t", "first", "windows"])
 
     own = _named(docs).alias("d").join(places.alias("p"), (F.col("d.t") == F.col("p.t")) & F.col("d.doc_id").eqNullSafe(F.col("p.first")))
-    return own.select("d.doc_id", "d.text", "d.t", "p.first", "p.places").mapInArrow(run, f"t long, first long, windows {WINDOWS}")
+    return own.select("d.doc_id", "d.text", "d.t", "p.first", "p.places").mapInArrow(tidy(run), f"t long, first long, windows {WINDOWS}")
 
 
 def repeated_runs(docs: DataFrame, size: int) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, pick, slices
+from .common import cut_lineage, pick, slices, tidy
 from .words import NON_SPACE, raw_bytes, span_hash, split
 
 LABELLED = 20_000
@@ -148,7 +148,7 @@ def features(docs: DataFrame, labels: DataFrame) -> DataFrame:
             text, page = text_features(batch.column(1)), page_features(*(batch.column(k) for k in (2, 3, 4)))
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(text), _lists(page)], names=["doc_id", "text_view", "page_view"])
 
-    made = pick(docs, **COLUMNS).mapInArrow(run, "doc_id long, text_view array<float>, page_view array<float>")
+    made = pick(docs, **COLUMNS).mapInArrow(tidy(run), "doc_id long, text_view array<float>, page_view array<float>")
     known = (pick(labels, doc_id="long", quality="double").filter("doc_id IS NOT NULL AND quality IS NOT NULL")
              .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("y")))
     return cut_lineage(made.join(known, "doc_id", "left").withColumn("pick", F.xxhash64("doc_id", F.lit("quality"))))
@@ -218,7 +218,7 @@ def classify(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFram
                 text, page, joint = model.scores(_matrix(batch.column(1)), _matrix(batch.column(2)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(text), pa.array(page), pa.array(joint), pa.array(joint >= keep)], names=["doc_id", "text_score", "page_score", "score", "keep"])
 
-    return table.select("doc_id", "text_view", "page_view").mapInArrow(run, RESULT)
+    return table.select("doc_id", "text_view", "page_view").mapInArrow(tidy(run), RESULT)
 
 
 def quality_of(model: Model, text: Column, lang: Column, source: Column, n_chars: Column) -> Column:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, tidy
 from .words import _PLACE, mix
 
 THRESHOLD = 0.8
@@ -169,7 +169,7 @@ def _able(items: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                 values = np.frombuffer(blob, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), key)), pa.array(values)], names=["key", "shingle"])
 
-    flat = items.select("key").join(sets, "key").select("key", "shingles").mapInArrow(unpack, "key long, shingle long")
+    flat = items.select("key").join(sets, "key").select("key", "shingles").mapInArrow(tidy(unpack), "key long, shingle long")
     lone = (flat.groupBy("shingle").agg(F.count("*").alias("c"), F.min("key").alias("key")).filter("c = 1")
             .groupBy("key").agg(F.count("*").alias("lone")))
     return items.join(lone, "key", "left").filter(F.col("n") - F.coalesce("lone", F.lit(0)) >= F.col("n") * threshold - 1e-9).select("key")

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint_root, fresh_folder, open_store, pick, slices
+from .common import checkpoint_root, fresh_folder, open_store, pick, slices, tidy
 
 LIMIT = 2048
 CHUNK_BYTES = 16 << 20
@@ -245,7 +245,7 @@ def pre_token_chunks(docs: DataFrame, tokenizer: str, chunk_bytes: int = CHUNK_B
             out.close()
 
     spark = docs.sparkSession
-    made = docs.mapInArrow(read, CHUNKS)
+    made = docs.mapInArrow(tidy(read), CHUNKS)
     path = f"{checkpoint_root(spark)}/table-{uuid.uuid4().hex}"
     made.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(made.schema).parquet(path)
@@ -270,7 +270,7 @@ def piece_counts(words: DataFrame, tokenizer: str) -> DataFrame:
                 before, pieces = distinct[-1], int(n[-1])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n[runs.indices.to_numpy()], pa.int64())], names=["chunk", "place", "n"])
 
-    return words.select("chunk", "place", "word").repartition("word").sortWithinPartitions("word").mapInArrow(count, "chunk long, place int, n long")
+    return words.select("chunk", "place", "word").repartition("word").sortWithinPartitions("word").mapInArrow(tidy(count), "chunk long, place int, n long")
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int = LIMIT, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -307,4 +307,4 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = LIMIT, chunk_byte
                     pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64()), pa.array([t > limit for t in tokens], pa.bool_())],
                     names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return named.mapInArrow(total, COUNTED)
+    return named.mapInArrow(tidy(total), COUNTED)

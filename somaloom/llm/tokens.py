@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, fresh_folder, open_store, pick, slices
+from .common import cut_lineage, fresh_folder, open_store, pick, slices, tidy
 from .words import NON_SPACE, Words, raw_bytes, split
 
 INDEX_MAGIC, TABLE_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -247,7 +247,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, order: list[str]
         kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array([m[n] for m in made], k) for n, k in zip(names, kinds)], names=names)
 
-    return cut_lineage(ordered.mapInArrow(write, MANIFEST))
+    return cut_lineage(ordered.mapInArrow(tidy(write), MANIFEST))
 
 
 def read_tokens(manifest: DataFrame, wanted: list[int] | None = None) -> DataFrame:
@@ -271,7 +271,7 @@ def read_tokens(manifest: DataFrame, wanted: list[int] | None = None) -> DataFra
                         pa.array((shard.starts[some] + row["before"]).tolist(), pa.int64()),
                         pa.array([shard.ids(k) for k in some.tolist()], pa.binary())], names=["doc_id", "start", "ids"])
 
-    return named.select("shard", "path", "width", "before").repartitionByRange(n_shards, "shard").mapInArrow(read, "doc_id long, start long, ids binary")
+    return named.select("shard", "path", "width", "before").repartitionByRange(n_shards, "shard").mapInArrow(tidy(read), "doc_id long, start long, ids binary")
 
 
 def token_digests(documents: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 """Words of many texts at once, as byte positions and 64-bit hashes in numpy arrays.
 
 A text is taken as its UTF-8 bytes with A-Z lower-cased, so a class of ASCII
-separators decides what a word is and every other code point is a letter. Hashes
-are polynomials modulo 2**64 over random byte values, the same for equal words in
-every text, process and run. Work arrays are held for one block of bytes at a time.
+separators decides what a word is and every other code point is a letter. A hash is a
+sum over the bytes of a random value of the byte times a random value of its place in the
+word, finished by a mixer: the same for equal words in every text, process and run, and for two given
+different words equal with a chance of about 2**-60, whatever their make (places have no algebra that words could
+cancel in). Work arrays are held for one block of bytes at a time.
 """
 
 from __future__ import annotations
@@ -20,8 +22,7 @@ _RNG = np.random.Generator(np.random.PCG64(20240229))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _RNG.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C13)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_SPOTS = _RNG.integers(1, 2**63, 1 << 14, dtype=np.uint64) * np.uint64(2) + np.uint64(1)  # values of the first places of a word
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -48,32 +49,38 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(max(n, BLOCK + 1), base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0], _powers[1]
-
-
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] for ascending spans; equal bytes have equal hashes wherever they stand."""
+    """Hash of data[start:end] for ascending spans without overlap; equal bytes have equal hashes wherever they stand."""
     out = np.empty(len(starts), np.uint64)
     first = 0
     while first < len(starts):
         origin = starts[first]
         last = max(int(np.searchsorted(starts, origin + BLOCK, "left")), first + 1)
         s, e = starts[first:last] - origin, ends[first:last] - origin
-        size = int(e.max())
-        up, down = _power(size + 1)
-        sums = np.zeros(size + 1, np.uint64)
-        np.cumsum(_BYTE[data[origin : origin + size]] * up[:size], dtype=np.uint64, out=sums[1:])
-        out[first:last] = (sums[e] - sums[s]) * down[s]
+        size = int(e[-1])
+        lengths = e - s
+        cuts = np.cumsum(lengths)
+        place = np.arange(cuts[-1]) - np.repeat(cuts - lengths, lengths)
+        own = data[origin : origin + size] if cuts[-1] == size else data[origin : origin + size][place + np.repeat(s, lengths)]
+        terms = _BYTE[own] * _spot(place)
+        full = lengths > 0
+        out[first:last] = 0
+        if full.any():
+            out[first:last][full] = np.add.reduceat(terms, (cuts - lengths)[full])
         first = last
     return mix(out)
 
 
+def _spot(place: np.ndarray) -> np.ndarray:
+    """Random odd value of each place; those of far places are products of two."""
+    size = len(_SPOTS)
+    out = _SPOTS[place % size] if place.max(initial=0) >= size else _SPOTS[place]
+    far = np.flatnonzero(place >= size)
+    if len(far):
+        out[far] *= mix((place[far] // size).astype(np.uint64) * _BASE) | np.uint64(1)
+    return out
+
+
 @dataclass
 class Words:
     data: np.ndarray  # lower-cased bytes of all texts
