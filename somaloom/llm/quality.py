@@ -1,13 +1,15 @@
 """Quality classifier by co-training two views of a document.
 
-The text view sees what the text is made of; the page view sees its metadata (language, source, stated
+The text view sees what the text says and what it is made of: the counts of up to ``TERMS`` words and word pairs that tell good
+labelled documents from poor ones, and the shape of bytes, words and lines. The page view sees its metadata (language, source, stated
 length). Each is a logistic model. In every round both score all unlabelled documents; those of which a
 view is sure, on both sides, become pseudo-labels for the *other* view, which is fitted anew. At the end
-each view is calibrated on labelled documents that no fit has seen, and a last logistic step there weighs
-the two calibrated views; it scores every document, and documents under ``KEEP`` are rejected.
+each view is calibrated on labelled documents that no fit has seen, and a last logistic step on others again weighs
+the two calibrated views (with few labels the same documents serve both); it scores every document, and documents under ``KEEP`` are
+rejected. Toxicity is another label and not judged here.
 
 Fits run on bounded samples, chosen by hash: at most ``LABELLED`` labelled rows and, in each round and for
-each view, ``PSEUDO`` pseudo-labels. Everything else (features, the search for sure documents, scores)
+each view, ``PSEUDO`` pseudo-labels; terms are counted over the same labelled rows, in Spark. Everything else (features, the search for sure documents, scores)
 covers all rows in Spark.
 
 Defined results: several labels of a document are averaged, and a tie counts as good; null labels do not
@@ -28,8 +30,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage, pick, slices, tidy
-from .words import NON_SPACE, raw_bytes, span_hash, split
+from .common import _give_back, cut_lineage, pick, slices, tidy
+from .words import _PLACE, NON_SPACE, mix, raw_bytes, span_hash, split, tally
 
 LABELLED = 20_000
 PSEUDO = 2_000
@@ -38,6 +40,10 @@ SURE = 0.95
 KEEP = 0.5
 PAGE_SLOTS = 64
 RIDGE = 1e-3
+TERMS = 128  # words and word pairs of the text view
+TERM_ROWS = 5  # labelled rows that a term stands in, at least
+TERM_ERRORS = 6.0  # standard errors by which its share of good rows differs, at least
+FIT_ROWS = 2048
 
 _KINDS = {
     "upper": lambda b: 65 <= b <= 90, "lower": lambda b: 97 <= b <= 122, "digit": lambda b: 48 <= b <= 57, "space": lambda b: b == 32,
@@ -58,8 +64,29 @@ def _repeat_share(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return _share(frame.duplicated().to_numpy().astype(float), group, n, total)
 
 
+def text_terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words and pairs of neighbouring words (A-Z lower-cased) of each text: text, hash, how often."""
+    words = split(column)
+    pair = words.doc[1:] == words.doc[:-1]
+    pairs = mix(words.hashes[:-1] * _PLACE[0] + words.hashes[1:] * _PLACE[1])[pair]
+    doc, values = np.concatenate([words.doc, words.doc[1:][pair]]), np.concatenate([words.hashes, pairs])
+    order = np.argsort(doc, kind="stable")
+    return tally(doc[order], values[order])
+
+
+def term_features(column: pa.Array, terms: np.ndarray) -> np.ndarray:
+    """ln(1 + count) of each of the (sorted) terms in each text."""
+    out = np.zeros((len(column), len(terms)))
+    if len(terms):
+        doc, values, n = text_terms(column)
+        at = np.minimum(np.searchsorted(terms, values), len(terms) - 1)
+        hit = terms[at] == values
+        out[doc[hit], at[hit]] = np.log1p(n[hit])
+    return out
+
+
 def text_features(column: pa.Array) -> np.ndarray:
-    """What each text of an Arrow array without nulls is made of, a row each."""
+    """The shape of each text of an Arrow array without nulls, a row each."""
     words, (raw, offsets), n = split(column, NON_SPACE), raw_bytes(column), len(column)
     size, of = np.diff(offsets), np.repeat(np.arange(n), np.diff(offsets))
     out = [_share(t[raw].astype(float), of, n, size) for t in _TABLES.values()]
@@ -104,13 +131,18 @@ class Logistic:
     def fit(cls, x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> Logistic:
         """Ridge logistic regression by Newton steps."""
         centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
-        rows = np.column_stack([np.clip((x - centre) / scale, -10, 10), np.ones(len(x))])
-        weights, penalty = np.zeros(rows.shape[1]), np.full(rows.shape[1], ridge * len(x))
+        size = x.shape[1] + 1
+        weights, penalty = np.zeros(size), np.full(size, ridge * len(x))
         penalty[-1] = 1e-6 * len(x)
         for _ in range(30):
-            p = _sigmoid(rows @ weights)
-            hessian = (rows * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ rows + np.diag(penalty)
-            step = np.linalg.solve(hessian, rows.T @ (y - p) - penalty * weights)
+            hessian, slope = np.diag(penalty), -penalty * weights
+            for start in range(0, len(x), FIT_ROWS):  # a copy of a few rows at a time
+                part = x[start : start + FIT_ROWS]
+                rows = np.column_stack([np.clip((part - centre) / scale, -10, 10), np.ones(len(part))])
+                p = _sigmoid(rows @ weights)
+                hessian += (rows * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ rows
+                slope += rows.T @ (y[start : start + FIT_ROWS] - p)
+            step = np.linalg.solve(hessian, slope)
             weights = weights + step
             if np.abs(step).max() < 1e-8:
                 break
@@ -126,8 +158,9 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Two views, each with its calibration, and the weights that join them."""
+    """Two views, each with its calibration, and the weights that join them; ``terms`` are those of the text view."""
 
+    terms: np.ndarray
     views: tuple[Logistic, Logistic]
     calibration: tuple[Logistic, Logistic]
     join: Logistic
@@ -140,17 +173,52 @@ class Model:
 COLUMNS = {"doc_id": "long", "text": "string", "lang": "string", "source": "string", "n_chars": "long"}
 
 
-def features(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def text_view(column: pa.Array, terms: np.ndarray) -> np.ndarray:
+    """Shape and content of each text."""
+    return np.column_stack([text_features(column), term_features(column, terms)])
+
+
+def _known(labels: DataFrame) -> DataFrame:
+    return (pick(labels, doc_id="long", quality="double").filter("doc_id IS NOT NULL AND quality IS NOT NULL")
+            .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("y")))
+
+
+def telling_terms(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, terms: int = TERMS) -> np.ndarray:
+    """The terms that tell the classes of at most ``labelled`` labelled documents apart best, sorted.
+
+    Each term is counted once a document; what counts is how far its share of good documents is from the overall share, in
+    standard errors. Documents and counts stay in Spark; ``terms`` hashes come to the driver.
+    """
+    known = _known(labels)
+    picked = known.orderBy(F.xxhash64("doc_id", F.lit("quality")), "doc_id").limit(labelled)
+    total = picked.agg(F.count("*").alias("n"), F.avg("y").alias("p")).first()
+    if not total["n"] or not 0 < total["p"] < 1:
+        return np.zeros(0, np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            doc, values, _ = text_terms(batch.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), batch.column(1).take(pa.array(doc))], names=["term", "y"])
+
+    rows = pick(docs, doc_id="long", text="string").join(picked, "doc_id").select("text", "y")
+    counted = rows.mapInArrow(tidy(run), "term long, y double").groupBy("term").agg(F.count("*").alias("n"), F.sum("y").alias("good")).filter(f"n >= {TERM_ROWS}")
+    p = total["p"]
+    told = F.abs(F.col("good") - F.col("n") * p) / F.sqrt(F.col("n") * (p * (1 - p)))
+    best = counted.filter(told >= TERM_ERRORS).orderBy(told.desc(), "term").limit(terms).select("term").collect()
+    return np.sort(np.array([r["term"] for r in best], np.int64).view(np.uint64))
+
+
+def features(docs: DataFrame, labels: DataFrame, terms: np.ndarray | None = None) -> DataFrame:
     """(doc_id, y, pick, text_view, page_view) of every document; y is null without a label."""
+    terms = np.zeros(0, np.uint64) if terms is None else terms
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            text, page = text_features(batch.column(1)), page_features(*(batch.column(k) for k in (2, 3, 4)))
+            text, page = text_view(batch.column(1), terms), page_features(*(batch.column(k) for k in (2, 3, 4)))
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(text), _lists(page)], names=["doc_id", "text_view", "page_view"])
 
     made = pick(docs, **COLUMNS).mapInArrow(tidy(run), "doc_id long, text_view array<float>, page_view array<float>")
-    known = (pick(labels, doc_id="long", quality="double").filter("doc_id IS NOT NULL AND quality IS NOT NULL")
-             .groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("y")))
+    known = _known(labels)
     return cut_lineage(made.join(known, "doc_id", "left").withColumn("pick", F.xxhash64("doc_id", F.lit("quality"))))
 
 
@@ -179,14 +247,22 @@ def _sure(table: DataFrame, view: Logistic, column: str, bound: int, turn: int)
     return found.withColumn("y", (F.col("p") >= 0.5).cast("double")).orderBy(F.xxhash64("pick", F.lit(turn))).limit(bound).select("text_view", "page_view", "y")
 
 
-def train(table: DataFrame, labelled: int = LABELLED, pseudo: int = PSEUDO, rounds: int = ROUNDS) -> Model | None:
-    """Co-train on the rows of ``features``; None without labels of both classes."""
+def train(table: DataFrame, labelled: int = LABELLED, pseudo: int = PSEUDO, rounds: int = ROUNDS, terms: np.ndarray | None = None) -> Model | None:
+    """Co-train on the rows of ``features`` (made with ``terms``); None without labels of both classes.
+
+    A tenth of the labelled rows calibrates the views, another joins them; neither is fitted by the views.
+    """
     sample = table.filter("y IS NOT NULL").orderBy("pick", "doc_id").limit(labelled).select("text_view", "page_view", "y")
     text, page, y = _collected(sample)
-    fold = np.arange(len(y)) % 5 == 4  # labelled rows that only calibration sees
-    if not all(0 < part.sum() < len(part) for part in (y[fold], y[~fold])):
+    place = np.arange(len(y)) % 10
+    rest, joined = place < 8, place == 9
+    fold = place == 8
+    if not all(0 < part.sum() < len(part) for part in (y[fold], y[joined])):  # few labels: one fold does both
+        fold = joined = place >= 8 if len(y) >= 10 else np.arange(len(y)) % 5 == 4
+        rest = ~fold
+    if not all(0 < part.sum() < len(part) for part in (y[fold], y[rest])):
         return None
-    own = [[(text[~fold], y[~fold])], [(page[~fold], y[~fold])]]
+    own = [[(text[rest], y[rest])], [(page[rest], y[rest])]]
     fit = lambda rows: Logistic.fit(np.concatenate([x for x, _ in rows]), np.concatenate([t for _, t in rows]))
     views = [fit(rows) for rows in own]
     for turn in range(rounds):
@@ -195,10 +271,11 @@ def train(table: DataFrame, labelled: int = LABELLED, pseudo: int = PSEUDO, roun
             if len(given[giver][2]):
                 own[taker].append((given[giver][taker], given[giver][2]))
         views = [fit(rows) for rows in own]
-    logits = [v.logit(x)[:, None] for v, x in zip(views, (text[fold], page[fold]))]
-    calibration = [Logistic.fit(z, y[fold]) for z in logits]
-    join = Logistic.fit(np.column_stack([c.logit(z) for c, z in zip(calibration, logits)]), y[fold])
-    return Model(tuple(views), tuple(calibration), join)
+    calibration = [Logistic.fit(v.logit(x[fold])[:, None], y[fold]) for v, x in zip(views, (text, page))]
+    sure = [c.logit(v.logit(x[joined])[:, None]) for v, c, x in zip(views, calibration, (text, page))]
+    join = Logistic.fit(np.column_stack(sure), y[joined])
+    _give_back()
+    return Model(np.zeros(0, np.uint64) if terms is None else terms, tuple(views), tuple(calibration), join)
 
 
 RESULT = "doc_id long, text_score double, page_score double, score double, keep boolean"
@@ -206,8 +283,9 @@ RESULT = "doc_id long, text_score double, page_score double, score double, keep
 
 def classify(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
     """One row per document: doc_id, the calibrated score of each view, the joint score, keep."""
-    table = features(docs, labels)
-    model = train(table)
+    terms = telling_terms(docs, labels)
+    table = features(docs, labels, terms)
+    model = train(table, terms=terms)
     if model is None:
         one = F.lit(1.0)
         return table.select("doc_id", one.alias("text_score"), one.alias("page_score"), one.alias("score"), F.lit(True).alias("keep"))
@@ -226,7 +304,7 @@ def quality_of(model: Model, text: Column, lang: Column, source: Column, n_chars
 
     @F.arrow_udf("double")
     def scored(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
-        parts = [model.scores(_f32(text_features(b.column(0))), page_features(*(b.column(k) for k in (1, 2, 3))))[2]
+        parts = [model.scores(_f32(text_view(b.column(0), model.terms)), page_features(*(b.column(k) for k in (1, 2, 3))))[2]
                  for b in slices([pa.RecordBatch.from_arrays([text, lang, source, n_chars], names=["text", "lang", "source", "n_chars"])], "text")]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
 
@@ -239,7 +317,8 @@ def _f32(rows: np.ndarray) -> np.ndarray:
 
 def good_documents(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
-    model = train(features(docs, labels))
+    terms = telling_terms(docs, labels)
+    model = train(features(docs, labels, terms), terms=terms)
     if model is None:
         return docs
     return docs.filter(quality_of(model, *(F.col(f"`{c}`").cast(COLUMNS[c]) for c in ("text", "lang", "source", "n_chars"))) >= keep)

@@ -93,11 +93,11 @@ def components(links: DataFrame) -> DataFrame:
         here = jumped.select(F.col("key").alias("a"), F.col("label"))
         seen = edges.join(there, "b").groupBy("a").agg(F.min("seen").alias("seen"))
         hooked = seen.join(here, "a")
-        offers = (jumped.select("key", "top").union(hooked.select("a", "seen")).union(hooked.select("label", "seen")))
-        new = cut_lineage(offers.groupBy("key").agg(F.min("top").alias("label")))
-        changed = new.join(labels.withColumnRenamed("label", "old"), "key").filter("label <> old").limit(1).count()
-        labels = new
-        if not changed:
+        old = F.lit(None).cast("long")
+        offers = (jumped.select("key", "top", F.col("label").alias("old")).union(hooked.select("a", "seen", old)).union(hooked.select("label", "seen", old)))
+        new = cut_lineage(offers.groupBy("key").agg(F.min("top").alias("label"), F.min("old").alias("old")))  # each key has one old label
+        labels = new.select("key", "label")
+        if new.filter("label <> old").isEmpty():
             return labels
 
 
