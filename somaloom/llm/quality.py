@@ -130,7 +130,7 @@ class Logistic:
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> Logistic:
         """Ridge logistic regression by Newton steps."""
-        centre, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+        centre, scale = x.mean(axis=0, dtype=np.float64), np.maximum(_spread(x), 1e-9)
         size = x.shape[1] + 1
         weights, penalty = np.zeros(size), np.full(size, ridge * len(x))
         penalty[-1] = 1e-6 * len(x)
@@ -152,6 +152,14 @@ class Logistic:
         return np.clip((x - self.centre) / self.scale, -10, 10) @ self.weights[:-1] + self.weights[-1]
 
 
+def _spread(x: np.ndarray) -> np.ndarray:
+    """Standard deviation of each column, in double precision without a copy of all rows."""
+    mean, total = x.mean(axis=0, dtype=np.float64), np.zeros(x.shape[1])
+    for start in range(0, len(x), FIT_ROWS):
+        total += ((x[start : start + FIT_ROWS] - mean) ** 2).sum(axis=0)
+    return np.sqrt(total / max(len(x), 1))
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
@@ -200,7 +208,7 @@ def telling_terms(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED,
             doc, values, _ = text_terms(batch.column(0))
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), batch.column(1).take(pa.array(doc))], names=["term", "y"])
 
-    rows = pick(docs, doc_id="long", text="string").join(picked, "doc_id").select("text", "y")
+    rows = pick(docs, doc_id="long", text="string").join(F.broadcast(picked), "doc_id").select("text", "y")  # at most ``labelled`` ids
     counted = rows.mapInArrow(tidy(run), "term long, y double").groupBy("term").agg(F.count("*").alias("n"), F.sum("y").alias("good")).filter(f"n >= {TERM_ROWS}")
     p = total["p"]
     told = F.abs(F.col("good") - F.col("n") * p) / F.sqrt(F.col("n") * (p * (1 - p)))
@@ -227,12 +235,12 @@ def _lists(rows: np.ndarray) -> pa.Array:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1).astype(np.float64) if len(column) else np.zeros((0, 1))
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 1), np.float32)
 
 
 def _collected(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    found = rows.toArrow().combine_chunks()
-    views = [_matrix(pa.concat_arrays(found.column(c).chunks)) if found.num_rows else np.zeros((0, 1)) for c in ("text_view", "page_view")]
+    found = rows.toArrow()
+    views = [np.concatenate([_matrix(c) for c in found.column(v).chunks]) if found.num_rows else np.zeros((0, 1), np.float32) for v in ("text_view", "page_view")]
     return views[0], views[1], found.column("y").to_numpy().astype(float)
 
 
