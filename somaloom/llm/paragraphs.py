@@ -8,9 +8,11 @@ component (by doc_id, then place) stays, the others are marked for removal.
 
 Passages are found wherever line feeds stand, too: a window is any ``min_words`` words in a row of a text,
 and a window that stands earlier in the corpus (by doc_id, then word number) is repeated. Windows are not all
-compared: each holds a run of half its words, the one of least hash, that is chosen alike wherever the same
-window stands, so only windows around runs chosen more than once are looked up, and none is missed. Stretches
-of repeated windows with first copies in one document are one repeated run.
+compared: each holds a run of half its words, the leftmost of least hash, that is chosen alike wherever the same
+window stands and owns it, so only windows of runs that stand more than once are looked up, and none is missed. The
+windows of a run are one row, and rows meet by their run, in cells of bounded size; a run in very many places is dealt
+over several cells, whose first copies meet by window. Stretches of repeated windows with first copies in one document
+are one repeated run.
 
 Defined results: a null or empty text has no paragraphs; a null ``doc_id`` comes last and never names a
 component that has another id; rows of one doc_id are one document, so equal paragraphs at one place of
@@ -148,8 +150,20 @@ def anchors(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     return at, grams[at]
 
 
+def owners(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, owner) of the windows that stand in one text: the owner is the first word of the leftmost of their anchors of least hash.
+
+    Owners never fall along a text, so an owner's windows stand in a row, and equal windows have equal anchors at equal distances.
+    """
+    run = (size + 1) // 2
+    grams = _slide(words.hashes, run, _chain) | np.uint64(1)
+    begin = np.flatnonzero(windows(words, size)[1])
+    least = _slide(np.arange(len(grams)), size - run + 1, lambda a, b: np.where(grams[b] < grams[a], b, a))
+    return begin, least[begin]
+
+
 def _text_anchors(docs: DataFrame, size: int) -> DataFrame:
-    """(t, first, anchors) of the distinct texts: first is the smallest doc_id, nulls last; copies counts the rows."""
+    """(t, first, copies, anchors) of the distinct texts: first is the smallest doc_id, nulls last; copies counts the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -163,54 +177,142 @@ def _text_anchors(docs: DataFrame, size: int) -> DataFrame:
     return cut_lineage(found.groupBy("t").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("anchors").alias("anchors")))
 
 
-WINDOWS = "array<struct<place:int,start:long,end:long,window:long>>"
+OWNED = "cell long, hot boolean, t long, first long, copies long, place int, windows array<long>, starts array<int>, ends array<int>"
 
 
-def _windows_around(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
-    """(t, first, windows) of the texts (t, first, places): the windows that hold an anchor at one of the places."""
+def _owned_windows(docs: DataFrame, places: DataFrame, size: int) -> DataFrame:
+    """Rows of OWNED for the places (place, cell, hot) of the texts (t, first, copies, places): the windows owned by the anchor there.
+
+    place is the first window's; hashes and code points of an anchor's windows are lists in one row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            words = split(batch.column(1))
-            hashes, whole = windows(words, size)
+            words = split(batch.column(0))
+            hashes, _ = windows(words, size)
+            begin, owner = owners(words, size)
             listed = batch.column(4)
             of = np.repeat(np.arange(batch.num_rows), listed.value_lengths().to_numpy(zero_copy_only=False))
-            at = listed.flatten().to_numpy(zero_copy_only=False) + words.firsts[of]
-            near = np.zeros(len(words.doc) + 1, np.int64)  # windows that start in [at - back, at] hold the anchor
-            back = size - (size + 1) // 2
-            np.add.at(near, np.maximum(at - back, words.firsts[of]), 1)
-            np.add.at(near, at + 1, -1)
-            begin = np.flatnonzero((np.cumsum(near)[: len(whole)] > 0) & whole)
+            flat = listed.flatten()
+            at = flat.field("place").to_numpy(zero_copy_only=False) + words.firsts[of]
+            order = np.argsort(at, kind="stable")
+            spot = np.searchsorted(at[order], owner)
+            known = np.zeros(len(owner), bool)
+            known[spot < len(at)] = at[order][spot[spot < len(at)]] == owner[spot < len(at)]
+            begin, owner, spot = begin[known], owner[known], order[spot[known]]
+            cuts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner[:0]
             points = np.concatenate([[0], np.cumsum((words.data & 0xC0) != 0x80)])
             doc = words.doc[begin]
             origin = points[words.offsets[:-1]][doc]
-            held = pa.StructArray.from_arrays([
-                pa.array((begin - words.firsts[doc]).astype(np.int32)), pa.array(points[words.starts[begin]] - origin),
-                pa.array(points[words.ends[begin + size - 1]] - origin), pa.array(hashes[begin].view(np.int64))], names=["place", "start", "end", "window"])
-            cuts = np.searchsorted(doc, np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.ListArray.from_arrays(pa.array(cuts), held)], names=["t", "first", "windows"])
+            head, own = pa.array(spot[cuts]), pa.array(doc[cuts])
+            ranges = pa.array(np.append(cuts, len(begin)).astype(np.int32))
+            lists = [hashes[begin].view(np.int64), (points[words.starts[begin]] - origin).astype(np.int32), (points[words.ends[begin + size - 1]] - origin).astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([
+                flat.field("cell").take(head), flat.field("hot").take(head), *[batch.column(k).take(own) for k in (1, 2, 3)],
+                pa.array((begin - words.firsts[doc])[cuts].astype(np.int32)), *[pa.ListArray.from_arrays(ranges, pa.array(x)) for x in lists]],
+                names=["cell", "hot", "t", "first", "copies", "place", "windows", "starts", "ends"])
 
     own = _named(docs).alias("d").join(places.alias("p"), (F.col("d.t") == F.col("p.t")) & F.col("d.doc_id").eqNullSafe(F.col("p.first")))
-    return own.select("d.doc_id", "d.text", "d.t", "p.first", "p.places").mapInArrow(tidy(run), f"t long, first long, windows {WINDOWS}")
+    return own.select("d.text", "p.t", "p.first", "p.copies", "p.places").mapInArrow(tidy(run), OWNED)
+
+
+def _flat_windows(group: pa.Table) -> dict[str, np.ndarray]:
+    """The windows of OWNED rows: row, window, place, start, end, and unnamed and first of their text."""
+    group = group.combine_chunks()
+    lists = [group.column(c).combine_chunks() if group.num_rows else group.column(c).type.value_type for c in ("windows", "starts", "ends")]
+    if not group.num_rows:
+        lists = [pa.array([], pa.list_(kind)) for kind in lists]
+    lengths = lists[0].value_lengths().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(group.num_rows), lengths)
+    within = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    window, start, end = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+    first = group.column("first")
+    return {"row": row, "window": window, "start": start, "end": end, "place": group.column("place").to_numpy()[row] + within,
+            "unnamed": first.is_null().to_numpy()[row], "first": first.fill_null(0).to_numpy()[row]}
+
+
+def _least(flat: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """The first copy of each distinct window, by window: unnamed, first and place."""
+    order = np.lexsort((flat["place"], flat["first"], flat["unnamed"], flat["window"]))
+    window = flat["window"][order]
+    order = order[np.flatnonzero(np.append(True, window[1:] != window[:-1]))] if len(order) else order
+    return {c: flat[c][order] for c in ("window", "unnamed", "first", "place")}
+
+
+STRETCHES = "t long, own boolean, unnamed boolean, first_doc long, low int, high int, start long, end long"
+
+
+def _stretches(group: pa.Table, flat: dict[str, np.ndarray], heads: dict[str, np.ndarray]) -> pa.Table:
+    """Rows of STRETCHES: repeated windows in a row with first copies in one document.
+
+    In the document that holds the text first (own) all but first copies are repeated; in other documents of the text, all.
+    """
+    spot = np.searchsorted(heads["window"], flat["window"])
+    unnamed, first_doc = heads["unnamed"][spot], heads["first"][spot]
+    is_head = (flat["unnamed"] == unnamed) & (flat["first"] == first_doc) & (flat["place"] == heads["place"][spot])
+    t, copied = group.column("t").to_numpy(), group.column("copies").to_numpy() > 1
+    parts = []
+    for own, kept in ((True, ~is_head), (False, copied[flat["row"]])):
+        at = np.flatnonzero(kept)
+        row, place, named = flat["row"][at], flat["place"][at], (unnamed[at], first_doc[at])
+        new = (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1) | (named[0][1:] != named[0][:-1]) | (named[1][1:] != named[1][:-1])
+        low = np.flatnonzero(np.append(True, new)) if len(at) else at
+        high = np.append(low[1:], len(at))[: len(low)] - 1
+        none = named[0][low]
+        parts.append(pa.table({
+            "t": t[row[low]], "own": np.full(len(low), own), "unnamed": none, "first_doc": pa.array(named[1][low], pa.int64(), mask=none),
+            "low": place[low].astype(np.int32), "high": place[high].astype(np.int32),
+            "start": flat["start"][at[low]].astype(np.int64), "end": flat["end"][at[high]].astype(np.int64)}))
+    return pa.concat_tables(parts)
+
+
+CELL_ROWS = 1 << 14  # anchors whose windows one task compares at a time, on average
+
+
+def _stretches_in_cell(group: pa.Table) -> pa.Table:
+    flat = _flat_windows(group)
+    return _stretches(group, flat, _least(flat))
+
+
+def _heads_in_cell(group: pa.Table) -> pa.Table:
+    heads = _least(_flat_windows(group))
+    return pa.table({"cell": pa.array([group.column("cell")[0].as_py()] * len(heads["window"]), pa.int64()), **heads, "place": heads["place"].astype(np.int32)})
+
+
+def _stretches_by_heads(group: pa.Table, heads: pa.Table) -> pa.Table:
+    order = np.argsort(heads.column("window").to_numpy())
+    known = {c: heads.column(c).to_numpy(zero_copy_only=False)[order] for c in ("window", "unnamed", "first", "place")}
+    return _stretches(group, _flat_windows(group), known)
+
+
+def _all_stretches(owned: DataFrame, hot: bool) -> DataFrame:
+    """STRETCHES of all OWNED rows. Windows meet in the cell of their anchor; a hot anchor has several cells, whose first copies meet by window."""
+    found = owned.filter("NOT hot").groupBy("cell").applyInArrow(_stretches_in_cell, STRETCHES)
+    if not hot:
+        return found
+    dealt = owned.filter("hot")
+    local = cut_lineage(dealt.groupBy("cell").applyInArrow(_heads_in_cell, "cell long, window long, unnamed boolean, first long, place int"))
+    least = local.groupBy("window").agg(F.min(F.struct("unnamed", "first", "place")).alias("head"))
+    heads = local.select("cell", "window").join(least, "window").select("cell", "window", "head.*")
+    return found.unionByName(dealt.groupBy("cell").cogroup(heads.groupBy("cell")).applyInArrow(_stretches_by_heads, STRETCHES))
 
 
 def repeated_runs(docs: DataFrame, size: int) -> DataFrame:
-    """(t, own, runs) of (doc_id, text): repeated runs of a text, in the document that holds it first (own) and in its others."""
+    """(t, own, runs, first) of (doc_id, text): repeated runs of a text, in the document that holds it first (own) and in its others."""
     texts = _text_anchors(docs, size)
-    flat = texts.select("t", "first", "copies", F.explode("anchors").alias("a")).select("t", "first", "copies", "a.*")
-    shared = flat.groupBy("anchor").agg(F.sum("copies").alias("c")).filter("c > 1").select("anchor")
-    places = flat.join(shared, "anchor", "left_semi").groupBy("t", "first").agg(F.collect_set("place").alias("places"))
-    near = cut_lineage(_windows_around(docs, places, size))
-    each = near.select("t", "first", F.explode("windows").alias("w")).select("t", "first", "w.*")
-    at = F.struct(F.col("first").isNull().alias("unnamed"), F.col("first").alias("doc_id"), "place")
-    heads = each.groupBy("window").agg(F.min(at).alias("head"), F.count("*").alias("c"))
-    headed = each.join(heads, "window").join(texts.select("t", "copies"), "t").filter("c > 1 OR copies > 1")
-    is_head = F.col("first").eqNullSafe(F.col("head.doc_id")) & (F.col("place") == F.col("head.place"))
-    copied = F.col("copies") > 1  # a text that stands once has no other document
-    owns = F.when(copied & ~is_head, F.array(F.lit(True), F.lit(False))).when(copied, F.array(F.lit(False))).when(~is_head, F.array(F.lit(True)))
-    marked = headed.select("t", F.explode(owns).alias("own"), "place", "start", "end", F.col("head.doc_id").alias("first_doc"))
-    stretch = F.col("place") - F.dense_rank().over(Window.partitionBy("t", "own", "first_doc").orderBy("place"))
-    runs = marked.withColumn("stretch", stretch).groupBy("t", "own", "first_doc", "stretch").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    flat = texts.select("t", "copies", F.explode("anchors").alias("a")).select("t", "copies", "a.*")
+    shared = cut_lineage(flat.groupBy("anchor").agg(F.sum("copies").alias("c"), F.count("*").alias("n")).filter("c > 1").select("anchor", "n"))
+    total, top = shared.agg(F.sum("n"), F.max("n")).first()
+    cells = (total or 0) // CELL_ROWS + 1
+    is_hot = F.col("n") > CELL_ROWS
+    salted = F.xxhash64("anchor", F.pmod(F.xxhash64("t", "place"), F.floor(F.col("n") / CELL_ROWS) + 1))
+    cell = F.when(is_hot, salted).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(cells)))
+    places = flat.select("t", "anchor", "place").join(shared, "anchor").groupBy("t").agg(F.collect_list(F.struct("place", cell.alias("cell"), is_hot.alias("hot"))).alias("places"))
+    owned = cut_lineage(_owned_windows(docs, places.join(texts.select("t", "first", "copies"), "t"), size))
+    each = _all_stretches(owned, (top or 0) > CELL_ROWS)
+    whose = Window.partitionBy("t", "own", "unnamed", "first_doc").orderBy("low")
+    joined = each.withColumn("stretch", F.sum((F.col("low") > F.lag("high", 1, -2).over(whose) + 1).cast("int")).over(whose.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = joined.groupBy("t", "own", "unnamed", "first_doc", "stretch").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     listed = runs.groupBy("t", "own").agg(F.array_sort(F.collect_list(F.struct("start", "end", "first_doc"))).alias("runs"))
     return listed.join(texts.select("t", "first"), "t")
 

@@ -238,6 +238,16 @@ def test_passages_of_the_documents(spark, documents):
     check_runs(spark, [(r[0], r[1][:2000] if r[1] else r[1]) for r in rows()], 10)
 
 
+def test_passages_in_very_many_places(spark, monkeypatch):
+    monkeypatch.setattr(paragraphs, "CELL_ROWS", 3)  # most anchors are hot then
+    draw = random.Random(5)
+    said = " ".join(f"s{k}" for k in range(40))
+    other = lambda n: " ".join(f"o{draw.randrange(10**6)}" for _ in range(n))
+    docs = [(k, f"{other(draw.randrange(30))} {said} {other(draw.randrange(30))}") for k in range(40)]
+    docs += [(k + 100, docs[k % 7][1]) for k in range(15)] + [(None, said), (None, said + " " + said), (3, None)]
+    check_runs(spark, docs, 12)
+
+
 def test_decontamination_finds_all_verbatim_items(spark, documents):
     items = {r["item_id"]: r["text"] for r in table(spark, SF, "benchmark").collect()}
     got = {r.doc_id: r for r in QUERIES["op8_bm25_wand"](spark, SF).collect()}
