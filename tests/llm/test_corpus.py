@@ -397,6 +397,31 @@ def test_mix_places_every_document_once(spark, block):
     assert abs(sum({r.source: r.weight for r in got}.values()) - 1) < 1e-9
 
 
+@pytest.mark.parametrize("weights", [{"a": 0.33333, "b": 0.3334, "c": 0.33327}, {"a": 1e-5, "b": 0.7, "c": 0.29999}, {str(k): 1 / (k + 1.5) for k in range(40)}])
+def test_plan_keeps_the_given_weights(weights):
+    """Within one block of the weights as given, not of rounded ones, over many slots."""
+    n = 200_000
+    total = sum(weights.values())
+    slots = mixing.plan(weights, {s: int(w / total * n) + 2 for s, w in weights.items()})
+    for s, own in slots.items():
+        at = np.searchsorted(own, np.arange(n - 100), "right")
+        assert np.abs(at - np.arange(1, n - 99) * (weights[s] / total)).max() < 1 + 1e-6
+
+
+def test_plan_closes_up_and_stays_in_windows():
+    slots = mixing.plan({"a": 3, "b": 1}, {"a": 2, "b": 5})
+    assert len({x for own in slots.values() for x in own}) == 7
+    assert all(4 * k <= x < 4 * (k + 1) for k, x in enumerate(slots["b"])) and all(k * 4 // 3 <= x < -(-(k + 1) * 4 // 3) for k, x in enumerate(slots["a"]))
+    assert mixing.plan({"a": 1e-12, "b": 1.0}, {"a": 1, "b": 2})["a"][0] >= 0
+
+
+def test_mix_blocks_grow_with_the_corpus(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    got = mixing.mix_sources(docs, block_bytes=10, max_blocks=50).collect()
+    blocks = {(r.source, r.block) for r in got}
+    assert len(blocks) <= 50 + len({r.source for r in got}) and sorted(r.position for r in got) == list(range(docs.count()))
+
+
 def test_mix_awkward(spark):
     got = mixing.mix_sources(messy(spark), block_bytes=50).collect()
     assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows()) and sorted(r.position for r in got) == list(range(len(rows())))
