@@ -61,3 +61,24 @@ WHERE p.edge_id >= 100 AND variant_id NOT IN (SELECT variant_id FROM {sites} WHE
 def placed_vaf(d):
     failing = d.sites.selectExpr("variant_id", "CASE WHEN pos % 14 = 0 THEN 'No' ELSE 'Yes' END AS passes_both")
     return L.placed_vaf(placed(d), nvnr(d), d.edge_tips, failing)
+
+
+# a tree a third of the suppliers, whose tips are numbered so that a node's parent is half its number
+VIEWS["tree_counts"] = """
+SELECT concat('tree_', CAST(l_suppkey % 3 AS STRING)) AS tree_id, CAST(l_partkey AS STRING) AS variant_id, CAST(l_suppkey AS STRING) AS sample_id,
+       l_suppkey + 1048576 AS tip, CAST(sum(CASE WHEN (l_partkey + l_suppkey % 8) % 4 = 0 AND l_linenumber < 5 THEN 1 ELSE 0 END) AS BIGINT) AS nv, count(*) AS nr
+FROM {lineitem} GROUP BY 1, 2, 3, 4"""
+
+
+@query("place_on_trees", """
+SELECT tree_id, variant_id, CAST(arg_min(edge_id, struct_pack(g := -round(g, 9), e := edge_id)) AS BIGINT) AS edge_id, round(1 - 1 / sum(exp(g - top)), 6) AS p_elsewhere
+FROM (SELECT *, max(g) OVER (PARTITION BY tree_id, variant_id) AS top FROM (
+  SELECT tree_id, variant_id, tip >> h AS edge_id, sum(nv * ln(0.5 / 0.01) + (nr - nv) * ln(0.5 / 0.99)) AS g FROM {tree_counts}, (SELECT unnest(range(21)) AS h) GROUP BY 1, 2, 3))
+GROUP BY 1, 2""")
+def place_on_trees(d):
+    """Trees of 21 levels; the twin joins every count to all edges above it."""
+    nodes = d.tree_counts.select("tree_id", "sample_id", "tip").distinct().select("tree_id", "sample_id", "tip", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("h"))
+    node = F.expr("shiftright(CAST(tip AS BIGINT), h)")
+    edges = nodes.select("tree_id", node.alias("edge_id"), F.expr("CASE WHEN h < 20 THEN shiftright(CAST(tip AS BIGINT), h + 1) END").alias("parent_id"),
+                         F.when(F.col("h") == 0, F.col("sample_id")).alias("sample_id")).distinct()
+    return rounded(L.place_on_trees(d.tree_counts, L.tip_ranges(edges)), "p_elsewhere")

@@ -7,6 +7,7 @@ from catalog.counts import r6, rounded
 from catalog.joins import TARGETS, targets
 from somaloom.functions import quality as Q
 from somaloom.operators import coverage as C
+from somaloom.operators import optical as O
 
 _OPS = {">": ">", ">=": ">=", "<": "<"}
 SCORE = {p: " + ".join(f"CASE WHEN {m} {op} {cut} THEN 1 ELSE 0 END" for m, op, cut in rules) for p, rules in Q.PROFILES.items()}
@@ -84,6 +85,40 @@ def mark_duplicates_unmapped(d):
     return C.mark_duplicates(rows, quality="bq").select("read_id", "chrom", "pos", "bq", "is_duplicate")
 
 
+VIEWS["clusters"] = """
+SELECT read_id, sample_id, chrom, pos, strand, bq, mq >= 25 AS paired, read_id % 3 AS tile, (read_id * 37) % 1000 AS x, (read_id * 53) % 700 AS y FROM {obs}"""
+
+# twin of the chains: reads reached from each read over pairs within 100 pixels
+_OPTICAL = """
+SELECT r.*, rank() OVER (PARTITION BY sample_id, chrom, pos, strand ORDER BY bq DESC, r.read_id) > 1 AS is_duplicate,
+       rank() OVER (PARTITION BY sample_id, chrom, pos, strand, tile, c.cluster ORDER BY bq DESC, r.read_id) > 1 AS is_optical
+FROM {clusters} r JOIN (
+  WITH RECURSIVE near AS (SELECT a.read_id AS a, b.read_id AS b FROM {clusters} a JOIN {clusters} b USING (sample_id, chrom, pos, strand, tile) WHERE abs(a.x - b.x) <= 100 AND abs(a.y - b.y) <= 100),
+  reach AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON n.a = r.b)
+  SELECT a AS read_id, min(b) AS cluster FROM reach GROUP BY 1) c ON c.read_id = r.read_id"""
+
+
+def _flagged(d):
+    return O.optical_duplicates(C.mark_duplicates(d.clusters, quality="bq"), quality="bq")
+
+
+@query("optical_duplicates", f"SELECT read_id, sample_id, tile, is_duplicate, is_optical FROM ({_OPTICAL})")
+def optical_duplicates(d):
+    return _flagged(d).select("read_id", "sample_id", "tile", "is_duplicate", "is_optical")
+
+
+@query("dup_metrics_from_reads", f"""
+SELECT sample_id, e AS read_pairs_examined, u AS read_pair_duplicates, o AS read_pair_optical_duplicates, round((u + s_dup) / (e + s), 6) AS pct_duplication,
+       round(o / e, 6) AS pct_optical_duplicates, round((u - o) / e, 6) AS pct_pcr_duplicates
+FROM (SELECT sample_id, count(*) FILTER (WHERE paired) // 2 AS e, count(*) FILTER (WHERE paired AND is_duplicate) // 2 AS u, count(*) FILTER (WHERE paired AND is_optical) // 2 AS o,
+             count(*) FILTER (WHERE NOT paired) AS s, count(*) FILTER (WHERE NOT paired AND is_duplicate) AS s_dup FROM ({_OPTICAL}) GROUP BY 1)""")
+def dup_metrics_from_reads(d):
+    """Duplicates, optical ones included, found in the reads themselves."""
+    counts = O.duplicate_counts(_flagged(d))
+    return rounded(C.dup_metrics(counts).select("sample_id", "read_pairs_examined", "read_pair_duplicates", "read_pair_optical_duplicates", "pct_duplication",
+                                                "pct_optical_duplicates", "pct_pcr_duplicates"), "pct_optical_duplicates", "pct_pcr_duplicates")
+
+
 @query("quality_yield", """
 SELECT sample_id, count(*) AS total_bases, round(avg(CASE WHEN bq >= 20 THEN 1.0 ELSE 0 END), 6) AS q20_rate, round(avg(CASE WHEN bq >= 30 THEN 1.0 ELSE 0 END), 6) AS q30_rate FROM {obs} GROUP BY 1""")
 def quality_yield(d):

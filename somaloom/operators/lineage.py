@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from somaloom.functions.variants import is_snv_strict, vaf
 
 CHUNK = 1_000_000
+COUNTS_PER_TASK = 1 << 20
 
 
 def genotype_table(calls: DataFrame, ids: DataFrame) -> DataFrame:
@@ -61,6 +64,82 @@ def place_variants(counts: DataFrame, edge_tips: DataFrame, err: float = 0.01, c
     return best.select("variant_id", "edge_id", (1 - 1 / F.col("_s")).alias("p_elsewhere"))
 
 
+def _tour(edges: pd.DataFrame) -> pd.DataFrame:
+    """Tip ranges of one tree, tips numbered as a walk over it meets them."""
+    edges = edges.sort_values("edge_id")
+    names = dict(zip(edges["edge_id"], edges["sample_id"], strict=True))
+    below: dict = {e: [] for e in names}
+    stack = []
+    for e, up in zip(edges["edge_id"], edges["parent_id"], strict=True):
+        if pd.isna(up) or up not in below:
+            stack.append((e, False))
+        else:
+            below[up].append(e)
+    stack.reverse()
+    first, last, tips = {}, {}, 0
+    while stack:
+        e, done = stack.pop()
+        if done:
+            last[e] = tips - 1
+            continue
+        first[e] = tips
+        tips += names[e] is not None
+        stack.append((e, True))
+        stack.extend((c, False) for c in reversed(below[e]))
+    if len(first) < len(names):
+        raise ValueError(f"edges without a way to a root in tree {edges['tree_id'].iloc[0]}")
+    out = edges[["tree_id", "edge_id", "sample_id"]].assign(first=edges["edge_id"].map(first), last=edges["edge_id"].map(last))
+    return out[out["first"] <= out["last"]]
+
+
+def tip_ranges(edges: DataFrame) -> DataFrame:
+    """Each edge of a tree as a range of tips: ``tree_id, edge_id, sample_id, first, last``.
+
+    ``edges``: ``tree_id, edge_id, parent_id`` (NULL at a root), ``sample_id`` of edges that end in a tip. A row an edge,
+    however deep the tree; edges above no tip are left out; a cycle is an error. A task walks one tree.
+    """
+    schema = "tree_id string, edge_id bigint, sample_id string, first bigint, last bigint"
+    typed = edges.select(F.col("tree_id").cast("string"), F.col("edge_id").cast("bigint"), F.col("parent_id").cast("bigint"), F.col("sample_id").cast("string"))
+    return typed.groupBy("tree_id").applyInPandas(_tour, schema)
+
+
+def place_on_trees(counts: DataFrame, ranges: DataFrame, err: float = 0.01, carried: float = 0.5) -> DataFrame:
+    """:func:`place_variants` over :func:`tip_ranges`: ``tree_id, variant_id, edge_id, p_elsewhere``.
+
+    Tips stand in the order of the tour, so what an edge gains is a difference of two prefix sums over tips. Counts
+    (``tree_id, variant_id, sample_id, nv, nr``) are shuffled once and never repeated along a path; a tree goes to
+    each of the groups of about ``COUNTS_PER_TASK`` counts that its variants are dealt to. Edges without a counted tip are no candidates.
+    """
+    gain = F.col("nv") * math.log(carried / err) + (F.col("nr") - F.col("nv")) * math.log((1 - carried) / (1 - err))
+    parts = counts.groupBy("tree_id").agg(F.expr(f"CAST(ceil(count(*) / {COUNTS_PER_TASK}) AS INT)").alias("_n"))
+    tips = ranges.filter("sample_id IS NOT NULL").select("tree_id", "sample_id", F.col("first").alias("tip"))
+    rows = counts.select("tree_id", "sample_id", "variant_id", gain.alias("gain")).dropna().join(tips, ["tree_id", "sample_id"]).join(parts, "tree_id")
+    rows = rows.select("tree_id", F.pmod(F.xxhash64("variant_id"), "_n").cast("int").alias("part"), "variant_id", "tip", "gain")
+    trees = ranges.join(parts, "tree_id").select("tree_id", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("part"), "edge_id", "first", "last")
+
+    def best(rows: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        names = ["tree_id", "variant_id", "edge_id", "p_elsewhere"]
+        if rows.empty or tree.empty:
+            return pd.DataFrame({n: [] for n in names})
+        tree = tree.sort_values("edge_id")
+        edge, first, last = tree["edge_id"].to_numpy(), tree["first"].to_numpy(), tree["last"].to_numpy() + 1
+        code, variants = pd.factorize(rows["variant_id"])
+        order = np.argsort(code, kind="stable")
+        tip, gains = rows["tip"].to_numpy()[order], rows["gain"].to_numpy()[order]
+        ends = np.cumsum(np.bincount(code))
+        out, n = [], int(last.max())
+        for name, a, b in zip(variants, np.r_[0, ends[:-1]], ends, strict=True):
+            sums = np.r_[0.0, np.cumsum(np.bincount(tip[a:b], gains[a:b], n))]
+            seen = np.r_[0, np.cumsum(np.bincount(tip[a:b], minlength=n))]
+            on = seen[last] > seen[first]
+            g = (sums[last] - sums[first])[on]
+            out.append((rows["tree_id"].iloc[0], name, edge[on][np.argmax(np.round(g, 9))], 1 - 1 / np.exp(g - g.max()).sum()))
+        return pd.DataFrame(out, columns=names)
+
+    return rows.groupBy("tree_id", "part").cogroup(trees.groupBy("tree_id", "part")).applyInPandas(
+        best, "tree_id string, variant_id string, edge_id bigint, p_elsewhere double")
+
+
 def placed_table(placed: DataFrame, p_cut: float = 0.01) -> DataFrame:
     return placed.withColumn("confident", F.col("p_elsewhere") < p_cut)
 
