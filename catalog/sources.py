@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import Data, query
 from catalog.counts import nvnr
 from somaloom.session import checkpoint_root
+from somaloom.sources import block_gzip as B
 from somaloom.sources import reports as R
 from somaloom.sources import sheets as S
 from somaloom.sources import sinks as K
@@ -64,6 +65,26 @@ def read_vcf(d):
     return rows.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n_records"), F.sum(F.col("fmt_dp").cast("bigint")).alias("dp"))
 
 
+def _block_files(d: Data) -> str:
+    path = scratch(d, "calls")
+    lines = vcf_lines(d).withColumn("line_no", F.struct(~F.col("value").startswith("#"), ~F.col("value").startswith("##"), F.col("value")))
+    B.write_call_lines(lines, path)
+    return path
+
+
+@query("read_block_vcf", """
+SELECT variant_id, sample_id, chrom, pos, ref, alt, filter, gt AS fmt_gt, CAST(dp AS STRING) AS fmt_dp, CAST(dp AS STRING) AS info_dp FROM {calls}""")
+def read_block_vcf(d):
+    """Block-compressed call files, one per cell, read back by several tasks each."""
+    return X.vcf_fields(X.read_block_vcf(d.spark, _block_files(d), span=4096), ["DP"], ["GT", "DP"]).drop("file", "id", "qual")
+
+
+@query("read_block_vcf_region", "SELECT variant_id, sample_id, CAST(dp AS STRING) AS fmt_dp FROM {calls} WHERE chrom = 'chr3' AND pos BETWEEN 4000 AND 12000")
+def read_block_vcf_region(d):
+    """One region of the same files."""
+    return X.vcf_fields(X.read_block_vcf(d.spark, _block_files(d), chrom="chr3", start=4000, end=12000), fmt=["DP"]).select("variant_id", "sample_id", "fmt_dp")
+
+
 @query("metric_report", """
 SELECT biosample, CASE WHEN total_reads % 4 = 0 THEN total_reads ELSE 2 * total_reads END AS align_total_reads, CASE WHEN total_reads % 3 = 0 THEN NULL ELSE pct_chimeras END AS align_pct_chimeras FROM {qc}""")
 def metric_report(d):
