@@ -6,6 +6,7 @@ from catalog.base import VIEWS, Data, query
 from catalog.counts import nvnr, rounded
 from somaloom.operators import germline_stats as G
 from somaloom.operators import lineage as L
+from somaloom.plans import lineage as P
 
 VIEWS["placed"] = """
 SELECT variant_id, arg_min(edge_id, struct_pack(g := -round(g, 9), e := edge_id)) AS edge_id, 1 - 1 / sum(exp(g - top)) AS p_elsewhere
@@ -70,15 +71,29 @@ SELECT concat('tree_', CAST(l_suppkey % 3 AS STRING)) AS tree_id, CAST(l_partkey
 FROM {lineitem} GROUP BY 1, 2, 3, 4"""
 
 
-@query("place_on_trees", """
-SELECT tree_id, variant_id, CAST(arg_min(edge_id, struct_pack(g := -round(g, 9), e := edge_id)) AS BIGINT) AS edge_id, round(1 - 1 / sum(exp(g - top)), 6) AS p_elsewhere
+VIEWS["placed_on_trees"] = """
+SELECT tree_id, variant_id, CAST(arg_min(edge_id, struct_pack(g := -round(g, 9), e := edge_id)) AS BIGINT) AS edge_id, 1 - 1 / sum(exp(g - top)) AS p_elsewhere
 FROM (SELECT *, max(g) OVER (PARTITION BY tree_id, variant_id) AS top FROM (
   SELECT tree_id, variant_id, tip >> h AS edge_id, sum(nv * ln(0.5 / 0.01) + (nr - nv) * ln(0.5 / 0.99)) AS g FROM {tree_counts}, (SELECT unnest(range(21)) AS h) GROUP BY 1, 2, 3))
-GROUP BY 1, 2""")
-def place_on_trees(d):
+GROUP BY 1, 2"""
+
+
+def _trees(d: Data):
     """Trees of 21 levels; the twin joins every count to all edges above it."""
     nodes = d.tree_counts.select("tree_id", "sample_id", "tip").distinct().select("tree_id", "sample_id", "tip", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("h"))
     node = F.expr("shiftright(CAST(tip AS BIGINT), h)")
     edges = nodes.select("tree_id", node.alias("edge_id"), F.expr("CASE WHEN h < 20 THEN shiftright(CAST(tip AS BIGINT), h + 1) END").alias("parent_id"),
                          F.when(F.col("h") == 0, F.col("sample_id")).alias("sample_id")).distinct()
-    return rounded(L.place_on_trees(d.tree_counts, L.tip_ranges(edges)), "p_elsewhere")
+    return P.lineage_trees(d.tree_counts, edges, p_cut=0.9)
+
+
+@query("place_on_trees", "SELECT tree_id, variant_id, edge_id, round(p_elsewhere, 6) AS p_elsewhere FROM {placed_on_trees}")
+def place_on_trees(d):
+    return rounded(_trees(d)["placed"].drop("confident"), "p_elsewhere")
+
+
+@query("tree_branch_lengths", """
+SELECT e.tree_id, e.edge_id, count(p.variant_id) AS length FROM (SELECT DISTINCT tree_id, tip >> h AS edge_id FROM {tree_counts}, (SELECT unnest(range(21)) AS h)) e
+LEFT JOIN {placed_on_trees} p ON p.tree_id = e.tree_id AND p.edge_id = e.edge_id AND p.p_elsewhere < 0.9 GROUP BY 1, 2""")
+def tree_branch_lengths(d):
+    return _trees(d)["branch_lengths"]

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from somaloom.operators import germline_stats, lineage, signatures
+from somaloom.session import cut_lineage
 
 
 def lineage_tables(counts: DataFrame, edge_tips: DataFrame, kind: str = "both", sex: str = "male", mandatory: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -18,6 +20,19 @@ def lineage_tables(counts: DataFrame, edge_tips: DataFrame, kind: str = "both",
     }
 
 
+def lineage_trees(counts: DataFrame, edges: DataFrame, p_cut: float = 0.01) -> dict[str, DataFrame]:
+    """Placement on many trees at once, deep ones included.
+
+    ``counts``: ``tree_id, variant_id, sample_id, nv, nr``; ``edges``: ``tree_id, edge_id, parent_id, sample_id``. The tip ranges
+    are written once and read for tips and edges; a length is the number of confident variants of an edge.
+    """
+    ranges = cut_lineage(lineage.tip_ranges(edges))
+    placed = lineage.placed_table(lineage.place_on_trees(counts, ranges), p_cut)
+    found = placed.filter("confident").groupBy("tree_id", "edge_id").agg(F.count(F.lit(1)).alias("n"))
+    lengths = ranges.join(found, ["tree_id", "edge_id"], "left").select("tree_id", "edge_id", F.coalesce("n", F.lit(0)).alias("length"))
+    return {"ranges": ranges, "placed": placed, "branch_lengths": lengths}
+
+
 def signature_tables(called: DataFrame, catalog: DataFrame, project: str, genome: str) -> dict[str, DataFrame]:
     """Signature input, spectra, refit and coverage. ``called`` needs ``context`` (three reference bases)."""
     table = signatures.variant_table(called, project, genome)
