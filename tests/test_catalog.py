@@ -9,7 +9,7 @@ from tools.check import compare
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = ["variant_id_roundtrip", "explode_pileup", "pileup_metrics", "nv_nr_long", "second_pass", "vaf_split", "focal_pileup", "germline_labels",
-          "filter_influence", "best_annotation", "target_coverage", "cnv_summary_metrics", "exact_quantiles", "bray_curtis", "place_variants", "parse_vcf"]
+          "filter_influence", "best_annotation", "target_coverage", "cnv_summary_metrics", "exact_quantiles", "bray_curtis", "place_variants", "parse_vcf", "place_on_trees", "optical_duplicates", "read_block_vcf"]
 
 
 @pytest.fixture(scope="module")
