@@ -103,38 +103,129 @@ def tip_ranges(edges: DataFrame) -> DataFrame:
     return typed.groupBy("tree_id").applyInPandas(_tour, schema)
 
 
+class _Forest:
+    """The distinct tip ranges of one tree, numbered outermost first, for questions about edges between two of them.
+
+    Ranges either nest or do not touch. Edges over the same tips (``first``, ``last``) are one node: they gain the same.
+    """
+
+    def __init__(self, edge: np.ndarray, first: np.ndarray, last: np.ndarray):
+        order = np.lexsort((-last, first))
+        edge, first, last = edge[order], first[order], last[order]
+        new = np.r_[True, (np.diff(first) != 0) | (np.diff(last) != 0)]
+        starts = np.flatnonzero(new)
+        self.first, self.last = first[starts], last[starts]
+        own, least = np.diff(np.r_[starts, len(edge)]), np.minimum.reduceat(edge, starts)
+        parent, depth, edges = [], [], []
+        n = int(last.max()) + 1
+        leaf, shared, stack, k = [], [], [], 0  # innermost node of each tip, of each tip and the next
+        firsts, lasts, counts = self.first.tolist(), self.last.tolist(), own.tolist()
+        for tip in range(n):
+            while stack and lasts[stack[-1]] < tip:
+                stack.pop()
+            if tip:
+                shared.append(stack[-1] if stack else -1)
+            while k < len(firsts) and firsts[k] == tip:
+                up = stack[-1] if stack else -1
+                parent.append(up)
+                depth.append(depth[up] + 1 if up >= 0 else 1)
+                edges.append((edges[up] if up >= 0 else 0) + counts[k])
+                stack.append(k)
+                k += 1
+            leaf.append(stack[-1] if stack else -1)
+        self.leaf, self.depth, self.edges = np.array(leaf), np.array([*depth, 0]), np.array([*edges, 0])  # the last stands for "none", -1
+        self.up, self.least = [np.array([*parent, -1])], [np.r_[least, np.iinfo(np.int64).max]]
+        while (self.up[-1] >= 0).any():  # ancestors 2 ** j levels up and the least edge on the way
+            up, low = self.up[-1], self.least[-1]
+            self.least.append(np.minimum(low, low[up]))
+            self.up.append(up[up])
+        self.over = [np.array(shared, np.int64)]
+        while 2 ** len(self.over) <= n - 1:  # least of 2 ** j neighbours: the outermost node
+            half, low = 2 ** (len(self.over) - 1), self.over[-1]
+            self.over.append(np.minimum(low[:-half], low[half:]))
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Innermost node over the tips ``a < b``, -1 without one."""
+        level = np.frexp(b - a)[1] - 1
+        out = np.empty(len(a), np.int64)
+        for j in np.unique(level):
+            at = level == j
+            out[at] = np.minimum(self.over[j][a[at]], self.over[j][b[at] - 2**j])
+        return out
+
+    def least_edge(self, node: np.ndarray, above: np.ndarray) -> np.ndarray:
+        """Least edge on the way from ``node`` up to, but without, its ancestor ``above``."""
+        steps, out = self.depth[node] - self.depth[above], np.full(len(node), np.iinfo(np.int64).max)
+        for j in range(len(self.up)):
+            on = steps >> j & 1 == 1
+            out[on] = np.minimum(out[on], self.least[j][node[on]])
+            node = np.where(on, self.up[j][node], node)
+        return out
+
+
+def _best_edges(variant: np.ndarray, tip: np.ndarray, support: np.ndarray, other: np.ndarray, weights: tuple[float, float], tree: _Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``variant, edge, p_elsewhere`` of numbered variants, from their counts at tips.
+
+    What an edge gains changes only where ways up from counted tips meet, so a variant of ``m`` counted tips has at most
+    ``2 m`` different gains, each of a run of edges. Counts are summed as whole numbers, hence exactly.
+    """
+    order = np.lexsort((tip, variant))
+    variant, tip = variant[order], tip[order]
+    n = len(tree.leaf)
+    key = variant * n + tip
+    sums = [np.r_[0.0, np.cumsum(x[order])] for x in (support, other)]
+    place = np.flatnonzero(np.r_[True, np.diff(key) != 0])
+    v, t = variant[place], tip[place]
+    node = tree.leaf[t]
+    next_to = np.flatnonzero(np.diff(v) == 0)
+    meet = tree.common(t[next_to], t[next_to + 1])
+    size = len(tree.first)
+    joint = np.unique(np.r_[v * size + node, (v[next_to] * size + meet)[meet >= 0]])
+    v, node = joint // size, joint % size
+    # a node's next one above it is what it shares with the one before it, as outer nodes come first
+    above = np.full(len(v), -1)
+    same = np.flatnonzero(np.diff(v) == 0) + 1
+    before, own = node[same - 1], node[same]
+    inside = tree.last[before] >= tree.last[own]
+    above[same[inside]] = before[inside]
+    apart = same[~inside]
+    above[apart] = tree.common(tree.last[node[apart - 1]], tree.first[node[apart]])
+    low, high = np.searchsorted(key, v * n + tree.first[node]), np.searchsorted(key, v * n + tree.last[node], "right")
+    gain = sum(w * (x[high] - x[low]) for w, x in zip(weights, sums))
+    starts = np.flatnonzero(np.r_[True, np.diff(v) != 0])
+    length = np.diff(np.r_[starts, len(v)])
+    top = np.maximum.reduceat(gain, starts)
+    total = np.add.reduceat(np.exp(gain - np.repeat(top, length)) * (tree.edges[node] - tree.edges[above]), starts)
+    best = np.flatnonzero(np.round(gain, 9) == np.repeat(np.round(top, 9), length))
+    edge = tree.least_edge(node[best], above[best])
+    first = np.flatnonzero(np.r_[True, np.diff(v[best]) != 0])
+    return v[starts], np.minimum.reduceat(edge, first), 1 - 1 / total
+
+
 def place_on_trees(counts: DataFrame, ranges: DataFrame, err: float = 0.01, carried: float = 0.5) -> DataFrame:
     """:func:`place_variants` over :func:`tip_ranges`: ``tree_id, variant_id, edge_id, p_elsewhere``.
 
     Tips stand in the order of the tour, so what an edge gains is a difference of two prefix sums over tips. Counts
     (``tree_id, variant_id, sample_id, nv, nr``) are shuffled once and never repeated along a path; a tree goes to
-    each of the groups of about ``COUNTS_PER_TASK`` counts that its variants are dealt to. Edges without a counted tip are no candidates.
+    each of the groups of about ``COUNTS_PER_TASK`` counts that its variants are dealt to. Work follows the counts, not variants
+    x edges: see :func:`_best_edges`. Edges without a counted tip are no candidates.
     """
-    gain = F.col("nv") * math.log(carried / err) + (F.col("nr") - F.col("nv")) * math.log((1 - carried) / (1 - err))
+    weights = (math.log(carried / err), math.log((1 - carried) / (1 - err)))
     parts = counts.groupBy("tree_id").agg(F.expr(f"CAST(ceil(count(*) / {COUNTS_PER_TASK}) AS INT)").alias("_n"))
     tips = ranges.filter("sample_id IS NOT NULL").select("tree_id", "sample_id", F.col("first").alias("tip"))
-    rows = counts.select("tree_id", "sample_id", "variant_id", gain.alias("gain")).dropna().join(tips, ["tree_id", "sample_id"]).join(parts, "tree_id")
-    rows = rows.select("tree_id", F.pmod(F.xxhash64("variant_id"), "_n").cast("int").alias("part"), "variant_id", "tip", "gain")
+    split = [F.col("nv").cast("double").alias("support"), (F.col("nr") - F.col("nv")).cast("double").alias("other")]
+    rows = counts.select("tree_id", "sample_id", "variant_id", *split).dropna().join(tips, ["tree_id", "sample_id"]).join(parts, "tree_id")
+    rows = rows.select("tree_id", F.pmod(F.xxhash64("variant_id"), "_n").cast("int").alias("part"), "variant_id", "tip", "support", "other")
     trees = ranges.join(parts, "tree_id").select("tree_id", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("part"), "edge_id", "first", "last")
 
     def best(rows: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
         names = ["tree_id", "variant_id", "edge_id", "p_elsewhere"]
         if rows.empty or tree.empty:
             return pd.DataFrame({n: [] for n in names})
-        tree = tree.sort_values("edge_id")
-        edge, first, last = tree["edge_id"].to_numpy(), tree["first"].to_numpy(), tree["last"].to_numpy() + 1
         code, variants = pd.factorize(rows["variant_id"])
-        order = np.argsort(code, kind="stable")
-        tip, gains = rows["tip"].to_numpy()[order], rows["gain"].to_numpy()[order]
-        ends = np.cumsum(np.bincount(code))
-        out, n = [], int(last.max())
-        for name, a, b in zip(variants, np.r_[0, ends[:-1]], ends, strict=True):
-            sums = np.r_[0.0, np.cumsum(np.bincount(tip[a:b], gains[a:b], n))]
-            seen = np.r_[0, np.cumsum(np.bincount(tip[a:b], minlength=n))]
-            on = seen[last] > seen[first]
-            g = (sums[last] - sums[first])[on]
-            out.append((rows["tree_id"].iloc[0], name, edge[on][np.argmax(np.round(g, 9))], 1 - 1 / np.exp(g - g.max()).sum()))
-        return pd.DataFrame(out, columns=names)
+        number, edge, elsewhere = _best_edges(code.astype(np.int64), *[rows[c].to_numpy() for c in ("tip", "support", "other")], weights,
+                                              _Forest(*[tree[c].to_numpy() for c in ("edge_id", "first", "last")]))
+        return pd.DataFrame({"tree_id": rows["tree_id"].iloc[0], "variant_id": np.asarray(variants)[number], "edge_id": edge, "p_elsewhere": elsewhere})[names]
 
     return rows.groupBy("tree_id", "part").cogroup(trees.groupBy("tree_id", "part")).applyInPandas(
         best, "tree_id string, variant_id string, edge_id bigint, p_elsewhere double")
