@@ -217,6 +217,11 @@ class Data:
         return self._made[key]
 
 
+def spread(df: DataFrame, key: str, rows: int = 1 << 15) -> DataFrame:
+    """``df`` dealt by ``key`` to tasks of about ``rows`` rows, for rows that become long texts: a small file would be one task."""
+    return df.repartition(df.count() // rows + 1, key)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _RAW_SQL: dict[str, str] = {}
 

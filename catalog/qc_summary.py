@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from catalog.base import Data, query
+from catalog.base import Data, query, spread
 from somaloom.sources import qc_summary as Q
 
 
@@ -28,7 +28,7 @@ def reports(d: Data):
         _report("coverage_metrics", "GENOME_TERRITORY MEAN_COVERAGE PCT_1X PCT_5X HET_SNP_Q", "1000|n % 60|pct_1x|pct_5x|n % 20"),
         _report("target_metrics", "BAIT_SET MEAN_TARGET_COVERAGE FOLD_80_BASE_PENALTY ZERO_CVG_TARGETS_PCT PCT_TARGET_BASES_10X ON_BAIT_BASES", "'b'|n % 90|CASE WHEN n % 6 = 0 THEN '?' ELSE CAST(fold_80_base_penalty AS STRING) END|zero_cvg_targets_pct|pct_target_bases_10x|n"),
     ]
-    rows = d.qc.withColumn("n", F.regexp_extract("biosample", r"(\d+)$", 1).cast("bigint"))
+    rows = spread(d.qc, "biosample").withColumn("n", F.regexp_extract("biosample", r"(\d+)$", 1).cast("bigint"))
     return rows.select("biosample", F.explode(F.filter(F.expr(f"array({', '.join(parts)})"), lambda r: r.isNotNull())).alias("r")).select("biosample", "r.*")
 
 

@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from catalog.base import Data, query
+from catalog.base import Data, query, spread
 from catalog.counts import nvnr
 from somaloom.session import checkpoint_root
 from somaloom.sources import block_gzip as B
@@ -90,7 +90,7 @@ SELECT biosample, CASE WHEN total_reads % 4 = 0 THEN total_reads ELSE 2 * total_
 def metric_report(d):
     text = ("concat('# comment\\n\\nCATEGORY\\tTOTAL_READS\\tPCT_CHIMERAS\\nFIRST_OF_PAIR\\t1\\t0.5\\nUNPAIRED\\t', total_reads, '\\t', CASE WHEN total_reads % 3 = 0 THEN '?' ELSE CAST(pct_chimeras AS STRING) END, '\\n', "
             "CASE WHEN total_reads % 4 = 0 THEN '' ELSE concat('PAIR\\t', 2 * total_reads, '\\t', CASE WHEN total_reads % 3 = 0 THEN '' ELSE CAST(pct_chimeras AS STRING) END, '\\n') END) AS text")
-    reports = d.qc.selectExpr("biosample", text)
+    reports = spread(d.qc, "biosample").selectExpr("biosample", text)
     return R.parse_metric_report(reports, "CATEGORY", {"TOTAL_READS": "align_total_reads bigint", "PCT_CHIMERAS": "align_pct_chimeras double"}, ["PAIR", "UNPAIRED"])
 
 
@@ -98,7 +98,7 @@ def metric_report(d):
 SELECT biosample, total_reads AS read_pairs_examined, pct_duplication AS pct_duplication, NULL::BIGINT AS library_size FROM {qc}""")
 def metric_report_single(d):
     text = "concat('## METRICS\\nLIBRARY\\tREAD_PAIRS_EXAMINED\\tPERCENT_DUPLICATION\\tESTIMATED_LIBRARY_SIZE\\nlib1\\t', total_reads, '\\t', pct_duplication, '\\n\\n## HISTOGRAM\\nBIN\\tVALUE\\n1\\t2\\n') AS text"
-    return R.parse_metric_report(d.qc.selectExpr("biosample", text), "LIBRARY", {
+    return R.parse_metric_report(spread(d.qc, "biosample").selectExpr("biosample", text), "LIBRARY", {
         "READ_PAIRS_EXAMINED": "read_pairs_examined bigint", "PERCENT_DUPLICATION": "pct_duplication double", "ESTIMATED_LIBRARY_SIZE": "library_size bigint"})
 
 

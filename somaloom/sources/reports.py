@@ -17,27 +17,38 @@ def read_reports(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
 
 
+def _bound(value: Column, work) -> Column:
+    """``work`` of a value that is computed once; a lambda over arrays computes what stands outside of it again for each element."""
+    return F.element_at(F.transform(F.array(value), work), 1)
+
+
 def report_fields(text: Column, header: str, preferred: Sequence[str] = ()) -> Column:
     """Field map of the line after the header line that starts with ``header``.
 
     With ``preferred`` the value line is the one whose first field comes first in that list
     (``PAIR`` before ``UNPAIRED``); other lines are not used.
     """
-    lines = F.transform(F.split(text, "\r?\n"), lambda s: F.rtrim(s))
-    at = F.array_position(F.transform(lines, lambda s: s.startswith(header)), F.lit(True))
-    keys = F.split(F.get(lines, (at - 1).cast("int")), "\t")
-    rest = F.when(at > 0, F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines) - at, F.lit(0)).cast("int")))
-    if preferred:
-        def first_of(category: str) -> Column:
-            whole = lambda s: (F.size(F.split(s, "\t")) == F.size(keys)) & s.startswith(category + "\t")
-            return F.get(F.filter(rest, whole), F.lit(0))
-
-        picks = [first_of(c) for c in preferred]
-        values = F.split(F.coalesce(*picks), "\t")
-    else:
-        values = F.split(F.get(rest, F.lit(0)), "\t")
-    named = F.map_from_arrays(keys, F.transform(keys, lambda k, i: F.get(values, i)))
-    return F.when((at > 0) & values.isNotNull(), named)
+    def found(lines: Column) -> Column:
+        at = F.array_position(F.transform(lines, lambda s: s.startswith(header)), F.lit(True))
+        return _bound(F.struct(lines.alias("lines"), at.alias("at")), placed)
+
+    def placed(r: Column) -> Column:
+        lines, at = r["lines"], r["at"]
+        keys = F.split(F.get(lines, (at - 1).cast("int")), "\t")
+        rest = F.when(at > 0, F.slice(lines, (at + 1).cast("int"), F.greatest(F.size(lines) - at, F.lit(0)).cast("int")))
+        return _bound(F.struct(keys.alias("keys"), F.size(keys).alias("n"), rest.alias("rest")), chosen)
+
+    def chosen(r: Column) -> Column:
+        rest, n = r["rest"], r["n"]
+        whole = lambda category: lambda s: s.startswith(category + "\t") & (F.size(F.split(s, "\t")) == n)
+        line = F.coalesce(*[F.get(F.filter(rest, whole(c)), F.lit(0)) for c in preferred]) if preferred else F.get(rest, F.lit(0))
+        return _bound(F.struct(r["keys"].alias("keys"), F.slice(F.split(line, "\t"), F.lit(1), n).alias("values")), named)
+
+    def named(r: Column) -> Column:
+        keys, values = r["keys"], r["values"]
+        return F.when(values.isNotNull(), F.map_from_arrays(keys, F.zip_with(keys, values, lambda k, v: v)))
+
+    return _bound(F.transform(F.split(text, "\r?\n"), lambda s: F.rtrim(s)), found)
 
 
 def parse_metric_report(reports: DataFrame, header: str, fields: dict[str, str], preferred: Sequence[str] = (), text: str = "text") -> DataFrame:
