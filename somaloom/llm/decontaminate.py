@@ -43,7 +43,7 @@ SHORT = 2 * SHINGLE
 BLOCK_PARTS = 2
 K1, B = 1.2, 0.75
 SHARD_BYTES = 8 << 20
-MAX_CELLS = 1 << 22  # values of one accumulation array
+MAX_CELLS = 1 << 19  # values of one accumulation array; a worker holds several
 
 FOUND = "struct<items:array<long>,score:double>"
 
