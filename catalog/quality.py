@@ -99,7 +99,7 @@ FROM {clusters} r JOIN (
 
 
 def _flagged(d):
-    return O.optical_duplicates(C.mark_duplicates(d.clusters, quality="bq"), quality="bq")
+    return O.optical_duplicates(d.saved("marked", lambda: C.mark_duplicates(d.clusters, quality="bq")), quality="bq")
 
 
 @query("optical_duplicates", f"SELECT read_id, sample_id, tile, is_duplicate, is_optical FROM ({_OPTICAL})")

@@ -12,6 +12,8 @@ from somaloom.functions.ranks import exact_quantiles
 from somaloom.operators.joins import assign_intervals
 
 DEPTH_CAP = 250
+_NO_QUALITY = -(10**10)  # stands before the negative of any quality
+_ID_FIRST, _ID_SPAN = "9223372036854775809BD", "100000000000000000000BD"  # ids from 1, NULL as 0
 DEPTH_LEVELS = (1, 5, 10, 15, 20, 25, 30, 40, 50, 60, 70, 80, 90, 100)
 
 
@@ -19,6 +21,29 @@ def _ratio(a: Column, b: Column, empty=0.0) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(empty))
 
 
+def read_rank(reads: DataFrame, quality: str, read_id: str) -> Column:
+    """Order of reads, the best smallest: high quality first, then the small id, NULLs before all others.
+
+    Whole numbers become one decimal, whose minimum is aggregated by hashing; other types stay a struct, which is sorted.
+    """
+    small = ["tinyint", "smallint", "int"]
+    kind = lambda name: reads.select(name).schema[0].dataType.simpleString()
+    if kind(quality) not in small or kind(read_id) not in [*small, "bigint"]:
+        return F.struct((-F.col(quality)).alias("q"), F.col(read_id).alias("r"))
+    q = F.coalesce(-F.col(quality).cast("decimal(11,0)"), F.lit(_NO_QUALITY).cast("decimal(11,0)"))
+    r = F.coalesce(F.col(read_id).cast("decimal(20,0)") + F.expr(_ID_FIRST), F.lit(0).cast("decimal(21,0)"))
+    return q * F.expr(_ID_SPAN) + r
+
+
+def _rank_parts(rank: Column, packed: bool) -> tuple[Column, Column]:
+    """The negative quality and the id that a rank was made of."""
+    if not packed:
+        return rank["q"], rank["r"]
+    r = F.pmod(rank, F.expr(_ID_SPAN))
+    q = F.try_divide(rank - r, F.expr(_ID_SPAN)).cast("bigint")
+    return F.when(q != _NO_QUALITY, q), F.when(r != 0, (r - F.expr(_ID_FIRST)).cast("bigint"))
+
+
 def mark_duplicates(reads: DataFrame, keys: Sequence[str] = ("sample_id", "chrom", "pos", "strand"),
                     quality: str = "sum_bq", read_id: str = "read_id") -> DataFrame:
     """Flag all but the best read of each copy group (same library, position, strand and mate).
@@ -29,10 +54,11 @@ def mark_duplicates(reads: DataFrame, keys: Sequence[str] = ("sample_id", "chrom
     """
     keys = list(keys)
     whole = reads.dropna(subset=keys)
-    best = whole.groupBy(*keys).agg(F.min(F.struct((-F.col(quality)).alias("q"), F.col(read_id).alias("r"))).alias("_best"))
-    flagged = whole.join(best, keys)
-    kept = (F.col(read_id) == F.col("_best.r")) & (-F.col(quality) == F.col("_best.q"))
-    flagged = flagged.withColumn("is_duplicate", ~kept).drop("_best")
+    best = whole.groupBy(*keys).agg(F.min(read_rank(reads, quality, read_id)).alias("_best"))
+    q, r = _rank_parts(F.col("_best"), best.schema["_best"].dataType.typeName() == "decimal")
+    flagged = whole.join(best.select(*keys, q.alias("_q"), r.alias("_r")), keys)
+    kept = (F.col(read_id) == F.col("_r")) & (-F.col(quality) == F.col("_q"))
+    flagged = flagged.withColumn("is_duplicate", ~kept).drop("_q", "_r")
     unkeyed = reads.filter(" OR ".join(f"`{k}` IS NULL" for k in keys)).withColumn("is_duplicate", F.lit(False))
     return flagged.unionByName(unkeyed.select(*flagged.columns))
 

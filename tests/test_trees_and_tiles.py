@@ -54,6 +54,38 @@ def test_optical_chain_and_awkward_reads(spark):
     assert (counts.paired_reads, counts.optical_pair_reads, counts.single_reads) == (40, 39, 6)
 
 
+def test_optical_reads_meet_their_cells_once(spark):
+    df = spark.createDataFrame([(i, "s", "c", 1, "F", 30, 1, i * 100, i * 37) for i in range(9)], READS)
+    plan = optical.optical_duplicates(df, quality="bq")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1
+
+
+def test_optical_corner_that_outermost_reads_leave_open(spark):
+    # cells of 11 pixels: of the reads nearest to the corner one pair is 12 pixels apart, the other two are 10
+    places = [(5, 6), (9, 1), (11, 18), (19, 11)]
+    for turn in (1, -1):
+        df = spark.createDataFrame([(i, "s", "c", 1, "F", 30, 1, x, turn * y + (10 if turn < 0 else 0)) for i, (x, y) in enumerate(places)], READS)
+        got = optical.optical_duplicates(df, quality="bq", distance=10).collect()
+        assert {r.read_id for r in got if r.is_optical} == {1, 2, 3}
+
+
+@pytest.mark.parametrize("kinds", ["bq int, read_id bigint", "bq double, read_id string"])
+def test_best_read_with_nulls(spark, kinds):
+    ids = [1, 2, None, 3, -(2**63), 2**63 - 1]
+    rows = [(g, q, i) for g, qs in enumerate([(5, 5, 5, 7, 7, 7), (None, 9, 9, 9, None, 9), (-(2**31) + 1, 2**31 - 1, 0, 0, 2**31 - 1, 2**31 - 1)]) for q, i in zip(qs, ids)]
+    if "string" in kinds:
+        rows = [(g, None if q is None else float(q), None if i is None else f"{i + 2**63:020d}") for g, q, i in rows]
+    df = spark.createDataFrame(rows, f"g int, {kinds}")
+    got = coverage.mark_duplicates(df, keys=["g"], quality="bq").collect()
+    for g in range(3):
+        own = [r[1:] for r in rows if r[0] == g]
+        q, i = min(own, key=lambda r: (r[0] is not None, -(r[0] or 0), 0 if r[1] is None else int(r[1]) + 2**64))
+        differs = lambda a, b: None if a is None or b is None else a != b
+        either = lambda a, b: True if True in (a, b) else None if None in (a, b) else False
+        want = {r: either(differs(r[1], i), differs(r[0], q)) for r in own}
+        assert {(r.bq, r.read_id): r.is_duplicate for r in got if r.g == g} == want
+
+
 def edge_tips(edges):
     """Every tip below each edge, by climbing from the tips."""
     up = {(t, e): p for t, e, p, _ in edges}
