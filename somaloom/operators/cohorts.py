@@ -58,15 +58,17 @@ def entries_from_metrics(metrics: DataFrame, variants: DataFrame | None = None)
     """The same from pileup metrics: support of each alternate allele, depth of its locus in every cell that covers it.
 
     ``metrics`` (one row per cohort, sample and allele) should be a written table; ``variants`` (cohort, variant_id) restricts
-    the alternates. Locus and variant meet as two short rows per sample; nothing absent is made.
+    the alternates. A site meets the rows of its locus once, which give both depth and support; nothing absent is made.
     """
+    locus = ["cohort", "chrom", "pos"]
     alts = metrics.filter("alt <> 'REF'")
     if variants is not None:
         alts = alts.join(variants.select(*KEY).distinct(), list(KEY), "left_semi")
-    sites = alts.select("cohort", "variant_id", *SITE).distinct()
-    depth = metrics.groupBy("cohort", "chrom", "pos", "sample_id").agg(F.max("depth_hq").alias("nr"))
-    support = alts.select("cohort", "variant_id", "sample_id", (F.col("n_hq_f") + F.col("n_hq_r")).alias("nv"))
-    return sites.join(depth, ["cohort", "chrom", "pos"]).join(support, ["cohort", "variant_id", "sample_id"], "left").withColumn("nv", F.coalesce("nv", F.lit(0)))
+    sites = alts.select("cohort", "variant_id", *SITE).repartition(*locus).distinct()
+    rows = metrics.select(*locus, "sample_id", "depth_hq", F.when((F.col("alt") != "REF") & F.col("sample_id").isNotNull(), F.col("variant_id")).alias("_seen"),
+                          (F.col("n_hq_f") + F.col("n_hq_r")).alias("_n")).repartition(*locus)
+    own = F.when(F.col("_seen") == F.col("variant_id"), F.col("_n"))
+    return sites.join(rows, locus).groupBy("cohort", "variant_id", "sample_id", *SITE).agg(F.max("depth_hq").alias("nr"), F.coalesce(F.max(own), F.lit(0)).alias("nv"))
 
 
 def compress(entries: DataFrame, cells: DataFrame) -> DataFrame:

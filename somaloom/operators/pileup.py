@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -101,6 +102,33 @@ LOCUS = ("sample_id", "chrom", "pos")
 METRIC_KEYS = ("sample_id", "variant_id", "chrom", "pos", "ref", "alt")
 
 
+def _medians(group: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """Weighted median of each of ``n`` groups; NaN for an empty one."""
+    order = np.lexsort((value, group))
+    value, upto = value[order], np.cumsum(weight[order])
+    size = np.bincount(group, weight, n).astype(np.int64)
+    first = np.cumsum(size) - size
+    out = np.full(n, np.nan)
+    some = np.flatnonzero(size)
+    low, high = (value[np.searchsorted(upto, (first + half)[some], "right")] for half in ((size - 1) // 2, size // 2))
+    out[some] = np.where(low == high, low, low * 0.5 + high * 0.5)
+    return out
+
+
+def _middles(counts: pa.Array) -> pa.Array:
+    """Median score, and median distance of the read positions of each strand from their median, of lists of counts."""
+    n = len(counts)
+    strand, x, score, c = (v.to_numpy(zero_copy_only=False) for v in counts.flatten().flatten())
+    row = np.repeat(np.arange(n), np.diff(counts.offsets.to_numpy()))
+    scored = ~np.isnan(score)
+    out = {"score": _medians(row[scored], score[scored], c[scored], n)}
+    for k, name in enumerate("fr"):
+        at = (strand == k) & ~np.isnan(x)
+        centre = _medians(row[at], x[at], c[at], n)
+        out[name] = _medians(row[at], np.abs(x[at] - centre[row[at]]), c[at], n)
+    return pa.StructArray.from_arrays([pa.array(v, pa.float64(), from_pandas=True) for v in out.values()], names=list(out))
+
+
 def pileup_metrics(
     obs: DataFrame, mq: int = 30, bq: int = 30, bp: int = 15, read_length: int = 150,
     allele: str = "allele", variant_id: str = "allele_id", carry: Sequence[str] = (),
@@ -108,7 +136,8 @@ def pileup_metrics(
     """Counts and position statistics per (sample, allele), with position depths.
 
     Reads are counted once, by strand, quality, read position, score and clipping; everything follows from those counts. Dealt by
-    locus, they serve the medians, the metrics and the position depths without another exchange. ``carry`` names columns that
+    locus, they serve the metrics and the position depths without another exchange; the counts of an allele are one list, of
+    which the medians of many alleles are read at once. ``carry`` names columns that
     depend on the sample only (its cohort).
     """
     keys = [*carry, *METRIC_KEYS]
@@ -118,7 +147,6 @@ def pileup_metrics(
         (F.col("strand") == "F").alias("fwd"), hq.alias("hq"), "bp_start", "aln_score", F.col("clipped").cast("double").alias("clipped"),
     ).agg(F.count(F.lit(1)).alias("c")).repartition(*carry, *LOCUS)
     x, c, fwd = F.col("bp_start"), F.col("c"), F.col("fwd")
-    centre = F.percentile(F.when(F.col("hq"), x), 0.5, c).over(W.partitionBy(*keys, "fwd"))
     known = F.col("clipped").isNotNull()
 
     def side(strand):
@@ -130,20 +158,22 @@ def pileup_metrics(
             "under": F.sum(F.when(at, F.when(x < bp, c).otherwise(0))) / n,
             "upper": F.sum(F.when(at, F.when(x > read_length - bp, c).otherwise(0))) / n,
             "sd": F.when(m > 1, F.sqrt(F.try_divide((m * s2 - s1 * s1).cast("double"), (m * (m - 1)).cast("double")))),
-            "mad": F.percentile(F.when(at, F.abs(x - F.col("_m"))), 0.5, c) * MAD_SCALE,
         }
 
     sides = {"f": side(fwd), "r": side(~fwd)}
     total = lambda cond: F.coalesce(F.sum(F.when(cond, c)), F.lit(0))
-    metrics = counts.withColumn("_m", centre).groupBy(*keys).agg(
+    strand = F.when(F.col("hq"), F.when(fwd, 0).when(~fwd, 1))
+    metrics = counts.groupBy(*keys).agg(
         total(fwd).alias("n_all_f"), total(~fwd).alias("n_all_r"),
         total(fwd & F.col("hq")).alias("n_hq_f"), total(~fwd & F.col("hq")).alias("n_hq_r"),
-        F.percentile("aln_score", 0.5, c).alias("median_as"),
         (F.sum(F.col("clipped") * c) / F.sum(F.when(known, c))).alias("prop_clipped"),
-        *[sides[strand][name].alias(f"{out}_{strand}")
-          for name, out in (("under", "prop_under"), ("sd", "sd"), ("mad", "mad"), ("upper", "prop_upper")) for strand in ("f", "r")],
+        *[sides[strand][name].alias(f"{out}_{strand}") for name, out in (("under", "prop_under"), ("sd", "sd"), ("upper", "prop_upper")) for strand in ("f", "r")],
+        F.collect_list(F.struct(strand.alias("strand"), x.cast("double").alias("x"), F.col("aln_score").cast("double").alias("score"), "c")).alias("_h"),
     )
-    return position_depth(metrics, carry)
+    metrics = position_depth(metrics, carry).withColumn("_m", F.arrow_udf(_middles, "struct<score:double,f:double,r:double>")("_h"))
+    metrics = metrics.withColumns({"median_as": F.col("_m.score"), "mad_f": F.col("_m.f") * MAD_SCALE, "mad_r": F.col("_m.r") * MAD_SCALE})
+    named = [f"{name}_{strand}" for name in ("prop_under", "sd", "mad", "prop_upper") for strand in ("f", "r")]
+    return metrics.select(*keys, "n_all_f", "n_all_r", "n_hq_f", "n_hq_r", "median_as", "prop_clipped", *named, "depth_all", "depth_hq")
 
 
 def position_depth(metrics: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

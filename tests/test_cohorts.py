@@ -121,3 +121,12 @@ def test_cohort_plan(spark):
         assert stages[cohort, "first_pass_depth"] >= stages[cohort, "first_pass_germline"] >= stages[cohort, "first_pass_betabinom"] > 0
         assert stages[cohort, "evidence"] >= stages[cohort, "split_hqstat"] >= stages[cohort, "split_qc"] >= stages[cohort, "split_depth"]
     assert out["cell_counts"].count() == 5 * out["cells"].count() and out["membership"].count() == out["counts"].count()
+
+
+def test_entries_meet_their_locus_once(spark):
+    rows = [("C1", s, v, "chr1", 5, "A", a, n, 0, 9) for s, v, a, n in [("s1", "ref", "REF", 4), ("s1", "v1", "C", 3), ("s1", "v2", "G", 2), ("s2", "ref", "REF", 9), (None, "v1", "C", 9)]]
+    metrics = spark.createDataFrame(rows, "cohort string, sample_id string, variant_id string, chrom string, pos int, ref string, alt string, n_hq_f long, n_hq_r long, depth_hq long")
+    found = K.entries_from_metrics(metrics)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert sorted((r.variant_id, str(r.sample_id), r.nr, r.nv) for r in found.collect()) == [
+        ("v1", "None", 9, 0), ("v1", "s1", 9, 3), ("v1", "s2", 9, 0), ("v2", "None", 9, 0), ("v2", "s1", 9, 2), ("v2", "s2", 9, 0)]

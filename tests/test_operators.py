@@ -2,6 +2,7 @@
 
 import os
 import random
+import statistics
 
 import numpy as np
 import pandas as pd
@@ -184,3 +185,20 @@ def test_bin_of_one_input_ends_the_run(spark):
     with pytest.raises(Exception, match="bin in one input only"):
         sinks.checked_bins(sinks.bins_long(seg, raw)).collect()
     assert sinks.checked_bins(sinks.bins_long(seg, raw.filter("start = 1"))).count() == 1
+
+
+def test_pileup_medians_of_many_alleles_at_once(spark):
+    draw = random.Random(5)
+    rows = [("s", f"v{k}", "chr1", k, "A", "C", draw.choice("FR"), draw.choice((20, 60)), 40, draw.choice((None, *range(1, 150))), draw.choice((None, 120, 150, 155)), False)
+            for k in range(60) for _ in range(k % 9 + 1)]
+    obs = spark.createDataFrame(rows, "sample_id string, allele_id string, chrom string, pos int, ref string, allele string, strand string, mq int, bq int, bp_start int, aln_score int, clipped boolean")
+    found = pileup.pileup_metrics(obs)
+    assert "percentile(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    middle = lambda values: statistics.median(values) if values else None
+    for r in found.collect():
+        own = [o for o in rows if o[1] == r.variant_id]
+        assert r.median_as == middle([o[10] for o in own if o[10] is not None])
+        for strand, mad in (("F", r.mad_f), ("R", r.mad_r)):
+            at = [o[9] for o in own if o[6] == strand and o[7] >= 30 and o[9] is not None]
+            want = middle([abs(x - middle(at)) for x in at])
+            assert mad is None if want is None else mad == pytest.approx(want * 1.4826)
