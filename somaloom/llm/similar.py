@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut_lineage, tidy
@@ -81,24 +81,21 @@ def _groups(items: str, shingles: str):
 def components(links: DataFrame) -> DataFrame:
     """(key, label): for every key of the links (a, b), the smallest key of its component.
 
-    Every round hooks each key and its label on the smallest label around and then on the label's
-    label, so long chains halve; a round is one table, and rounds end when no label changes.
+    A key has rows (key, low) of lower keys that it is linked with, itself at first. A round puts each low's own least low in
+    its place, then ties a key's other lows to its least one; so rows never become more, long chains halve, and each key
+    ends with one row, its label. A round is one table and three shuffles, however many rows a key has.
     """
-    edges = cut_lineage(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut_lineage(edges.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "key"))
+    pairs = links.select(F.greatest("a", "b").alias("key"), F.least("a", "b").alias("low"))
+    rows = pairs.union(pairs.select("key", "key")).union(pairs.select("low", "low"))
+    least, moved = F.min("low").over(Window.partitionBy("key")), F.col("moved") | (F.col("low") != F.col("least"))
     while True:
-        up = labels.select(F.col("key").alias("label"), F.col("label").alias("top"))
-        jumped = labels.join(up, "label").select("key", "label", "top")
-        there = jumped.select(F.col("key").alias("b"), F.col("top").alias("seen"))
-        here = jumped.select(F.col("key").alias("a"), F.col("label"))
-        seen = edges.join(there, "b").groupBy("a").agg(F.min("seen").alias("seen"))
-        hooked = seen.join(here, "a")
-        old = F.lit(None).cast("long")
-        offers = (jumped.select("key", "top", F.col("label").alias("old")).union(hooked.select("a", "seen", old)).union(hooked.select("label", "seen", old)))
-        new = cut_lineage(offers.groupBy("key").agg(F.min("top").alias("label"), F.min("old").alias("old")))  # each key has one old label
-        labels = new.select("key", "label")
-        if new.filter("label <> old").isEmpty():
-            return labels
+        own = rows.groupBy(F.col("key").alias("low")).agg(F.min("low").alias("least"))
+        down = rows.join(own, "low").select("key", F.col("least").alias("low"), (F.col("least") != F.col("low")).alias("moved"))
+        met = down.repartition("key").groupBy("key", "low").agg(F.max("moved").alias("moved")).withColumn("least", least)
+        rows = cut_lineage(met.select(F.when(F.col("low") != F.col("least"), F.col("low")).otherwise(F.col("key")).alias("key"), F.col("least").alias("low"), moved.alias("moved")))
+        if rows.filter("moved").isEmpty():
+            return rows.select("key", F.col("low").alias("label"))
+        rows = rows.select("key", "low")
 
 
 def _alike_size(threshold: float, a: str = "n", b: str = "m"):
