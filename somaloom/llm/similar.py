@@ -85,8 +85,8 @@ def components(links: DataFrame) -> DataFrame:
     its place, then ties a key's other lows to its least one; so rows never become more, long chains halve, and each key
     ends with one row, its label. A round is one table and three shuffles, however many rows a key has.
     """
-    pairs = links.select(F.greatest("a", "b").alias("key"), F.least("a", "b").alias("low"))
-    rows = pairs.union(pairs.select("key", "key")).union(pairs.select("low", "low"))
+    ends = F.explode(F.array(*[F.struct(F.greatest(x, y).alias("key"), F.least(x, y).alias("low")) for x, y in ("ab", "aa", "bb")])).alias("end")
+    rows = links.select(ends).select("end.key", "end.low")
     least, moved = F.min("low").over(Window.partitionBy("key")), F.col("moved") | (F.col("low") != F.col("least"))
     while True:
         own = rows.groupBy(F.col("key").alias("low")).agg(F.min("low").alias("least"))
