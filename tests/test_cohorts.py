@@ -12,6 +12,7 @@ from somaloom.functions import stats
 from somaloom.operators import cascade as C
 from somaloom.operators import cohorts as K
 from somaloom.operators import germline_stats as G
+from somaloom.session import cut_lineage
 
 SF = "/root/testdata/sf0.001"
 
@@ -130,3 +131,18 @@ def test_entries_meet_their_locus_once(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
     assert sorted((r.variant_id, str(r.sample_id), r.nr, r.nv) for r in found.collect()) == [
         ("v1", "None", 9, 0), ("v1", "s1", 9, 3), ("v1", "s2", 9, 0), ("v2", "None", 9, 0), ("v2", "s1", 9, 2), ("v2", "s2", 9, 0)]
+
+
+def test_stages_unpack_in_many_tasks(spark):
+    """Few bytes become many rows: they are dealt to all tasks first, and no row is lost or made twice."""
+    cells = K.number_cells(cut_lineage(spark.createDataFrame([("A", s) for s in ("s1", "s2", "s3")] + [("B", "s1")], "cohort string, sample_id string")))
+    rows = [("A", f"v{i}", [2], [3], [4], [0.75], [1], True, i % 2 == 0, False, False) for i in range(40)] + [("B", "v0", [], [], [], [], [], False, False, False, False)]
+    flagged = cut_lineage(spark.createDataFrame(
+        rows, "cohort string, variant_id string, cells array<int>, nv array<int>, nr array<int>, vaf array<double>, call array<int>, hqstat boolean, qc boolean, depth boolean, phylogeny boolean").coalesce(1))
+    split = K.vaf_split(flagged, cells)
+    held = [n for n in split.rdd.glom().map(len).collect() if n]
+    assert len(held) > 1 and max(held) < sum(held)
+    got = sorted(map(tuple, split.collect()))
+    full = {"s1": (0, 0, 0.0, 0), "s2": (4, 3, 0.75, 1), "s3": (0, 0, 0.0, 0)}
+    want = [("A", f"v{i}", s, *full[s], stage) for i in range(40) for s in full for stage in ("unfiltered", "hqstat", *["qc"] * (i % 2 == 0))]
+    assert got == sorted(want + [("B", "v0", "s1", 0, 0, 0.0, 0, "unfiltered")])
