@@ -146,3 +146,35 @@ def test_stages_unpack_in_many_tasks(spark):
     full = {"s1": (0, 0, 0.0, 0), "s2": (4, 3, 0.75, 1), "s3": (0, 0, 0.0, 0)}
     want = [("A", f"v{i}", s, *full[s], stage) for i in range(40) for s in full for stage in ("unfiltered", "hqstat", *["qc"] * (i % 2 == 0))]
     assert got == sorted(want + [("B", "v0", "s1", 0, 0, 0.0, 0, "unfiltered")])
+
+
+def test_grid_comes_in_tiles(spark):
+    """Names come again after a block of cells, not after the cohort; a single task's sparse rows unpack in many; no row is lost or made twice."""
+    sizes = {"A": 2 * K.TILE_CELLS + 3, "B": 2, "C": K.TILE_CELLS}
+    sheet = [(c, f"{c}{i:05}") for c, n in sizes.items() for i in range(1, n + 1)]
+    cells = K.number_cells(cut_lineage(spark.createDataFrame(sheet, "cohort string, sample_id string")))
+    stored = {("A", f"v{i}"): sorted({1, i + 1, K.TILE_CELLS, K.TILE_CELLS + 1, 2 * K.TILE_CELLS + 3} if i % 7 else set()) for i in range(3 * K.TILE_ROWS)}
+    stored |= {("A", "all"): list(range(1, sizes["A"] + 1)), ("B", "v1"): [2], ("B", "v2"): [], ("C", "v1"): [K.TILE_CELLS], ("D", "v1"): [1], (None, "v1"): [1]}
+    rows = [(c, v, "chr1", 7, None if v == "v3" else "A", "C", sizes.get(c, 1), at, [k % 5 for k in at], [k % 5 + 1 for k in at]) for (c, v), at in stored.items()]
+    sparse = cut_lineage(spark.createDataFrame(
+        rows, "cohort string, variant_id string, chrom string, pos long, ref string, alt string, n_cells int, cells array<int>, nv array<int>, nr array<int>").coalesce(1))
+    tasks = [t for t in K.grid(sparse, cells).rdd.glom().collect() if t]
+    assert len(tasks) > 1
+    want = {(c, v, f"{c}{i:05}", "chr1", 7, None if v == "v3" else "A", "C", *((i % 5, i % 5 + 1) if i in set(at) else (0, 0)))
+            for (c, v), at in stored.items() for i in range(1, sizes.get(c, 0) + 1)}
+    got = [tuple(r) for t in tasks for r in t]
+    assert len(got) == len(want) and set(got) == want
+    for task in tasks:
+        last, again = {}, []
+        for k, r in enumerate(task):
+            again.append(k - last.get(r.sample_id, k))
+            last[r.sample_id] = k
+        again = sorted(x for x in again if x)
+        assert again[len(again) // 2] <= K.TILE_CELLS and len(again) > len(task) / 2
+
+
+def test_a_cell_twice_in_a_row_is_refused(spark):
+    cells = K.number_cells(spark.createDataFrame([("A", "s1"), ("A", "s2")], "cohort string, sample_id string"))
+    row = [("A", "v", "chr1", 5, "A", "C", [2, 1, 2], [1, 1, 1], [1, 1, 1])]
+    with pytest.raises(Exception, match="stands twice"):
+        K.grid(spark.createDataFrame(row, "cohort string, variant_id string, chrom string, pos long, ref string, alt string, cells array<int>, nv array<int>, nr array<int>"), cells).collect()
